@@ -5,7 +5,7 @@ from __future__ import annotations
 from importlib import import_module
 
 #: Modules that hold QUERIES and SQL.
-MODULES: list[str] = []
+MODULES: list[str] = ["series"]
 
 QUERIES, SQL = {}, {}
 for _name in MODULES:
