@@ -62,25 +62,25 @@ _EDGES = """
         UNION ALL SELECT n + 10, n, 'v' FROM {n} WHERE n + 10 < total AND n % 5 <> 2
         UNION ALL SELECT n, n + 11, 'd' FROM {n} WHERE n % 10 < 9 AND n + 11 < total AND n * 3 % 7 = 0) e
 """
-EDGES_SQL = _EDGES.format(text="VARCHAR", int="BIGINT", n="(SELECT s_suppkey - 1 AS n, count(*) OVER () AS total FROM supplier)")
+EDGES_SQL = _EDGES.format(text="VARCHAR", int="BIGINT", n="(SELECT s_suppkey AS n, count(*) OVER () AS total FROM supplier)")
 
 
 def edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """segment_id, u, v, kind, name, highway, lanes, x1, y1, x2, y2, length, is_junction."""
     supplier = table(spark, sf_dir, "supplier")
-    n = spark.sql("SELECT s_suppkey - 1 AS n, (SELECT count(*) FROM {s}) AS total FROM {s}", s=supplier)
+    n = spark.sql("SELECT s_suppkey AS n, (SELECT count(*) FROM {s}) AS total FROM {s}", s=supplier)
     return spark.sql(_EDGES.format(text="STRING", int="BIGINT", n="{n}"), n=n)
 
 
 #: Ten recordings that each saw most of the edges.
-_NETWORKS = "SELECT e.*, r.rec FROM {edges} e, {recs} r WHERE (u * 13 + v * 7 + rec * 11) % 10 < 8 OR is_junction AND rec < 4"
+_NETWORKS = "SELECT e.*, r.rec FROM {edges} e, {recs} r WHERE (u * 3 + v * 4 + rec * 11) % 10 < 8 OR is_junction"
 NETWORKS_SQL = _NETWORKS.format(edges=f"({EDGES_SQL})", recs="(SELECT unnest(range(10)) AS rec)")
 
 
 def networks(spark: SparkSession, sf_dir: str) -> DataFrame:
     recs = F.explode(F.sequence(F.lit(0), F.lit(9))).alias("rec")
     seen = edges(spark, sf_dir).select("*", recs)
-    return seen.where("(u * 13 + v * 7 + rec * 11) % 10 < 8 OR is_junction AND rec < 4")
+    return seen.where("(u * 3 + v * 4 + rec * 11) % 10 < 8 OR is_junction")
 
 
 _VOTES = "SELECT CAST(l_suppkey % 50 AS {text}) AS segment_id, l_orderkey AS rec, l_linenumber AS pos, CAST(1 + l_linenumber % 4 AS {int}) AS lanes, l_quantity FROM {lineitem}"
