@@ -54,7 +54,7 @@ _EDGES = """
     SELECT CAST(u * 100000 + v AS {text}) AS segment_id, u, v, kind, CASE kind WHEN 'h' THEN concat('Row ', CAST(floor(u / 10) AS {int})) WHEN 'v' THEN concat('Col ', u % 10) ELSE concat('Link ', u % 7) END AS name,
            CASE WHEN kind = 'd' THEN 'primary_link' WHEN kind = 'h' AND floor(u / 10) % 3 = 0 THEN 'primary' WHEN kind = 'v' AND u % 4 = 0 THEN 'secondary' ELSE 'residential' END AS highway,
            CAST(1 + (u + v) % 4 AS {int}) AS lanes, CAST(u % 10 * 100 AS DOUBLE) AS x1, CAST(floor(u / 10) * 100 AS DOUBLE) AS y1, CAST(v % 10 * 100 AS DOUBLE) AS x2, CAST(floor(v / 10) * 100 AS DOUBLE) AS y2,
-           CASE kind WHEN 'd' THEN sqrt(20000.0) ELSE 100.0 END AS length, (u * 7 + v * 3) % 10 = 0 AS is_junction
+           CASE kind WHEN 'd' THEN sqrt(20000.0) ELSE 100.0 END AS length, (u * 7 + v * 4) % 5 = 0 AS is_junction
     FROM (
         SELECT n AS u, n + 1 AS v, 'h' AS kind FROM {n} WHERE n % 10 < 9 AND n + 1 < total
         UNION ALL SELECT n + 1, n, 'h' FROM {n} WHERE n % 10 < 9 AND n + 1 < total AND floor(n / 10) % 4 <> 1
