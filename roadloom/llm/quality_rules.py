@@ -5,8 +5,12 @@ rule gives is counted over all documents as patterns of votes; there are at most
 3 ** len(RULES) patterns, however large the table is, and only their counts reach the
 driver. Expectation-maximisation over the pattern counts estimates for each rule how often
 it votes good on good and bad on bad documents when it votes, and the share of good
-documents. A document is kept when its posterior probability of being good reaches
-``least``, so a single odd figure doesn't reject a text that everything else vouches for.
+documents. Bad documents are of several kinds, each caught by a rule or two while all others
+find nothing wrong. So that the many good votes don't win such a kind over round by round,
+the rules' share of bad votes on good documents is held at FALSE_ALARMS at most: the
+thresholds of bad votes are set where good texts don't come. How much a bad vote outweighs
+good ones follows from the estimates. A document is kept when its posterior probability of
+being good reaches ``least``.
 
 Defined results: null counts as the empty text; all of its statistics are 0. Documents
 with fewer than 10 words, or with over 20 % of their words in repeated five-word windows,
@@ -25,6 +29,7 @@ from pyspark.sql import functions as F
 from . import common as C
 
 WINDOW = 5
+FALSE_ALARMS = 0.001
 FIELDS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_letters", "n_bars", "n_bangs", "n_twice"]
 SCHEMA = ", ".join(f"{x} bigint" for x in FIELDS)
 
@@ -97,7 +102,7 @@ RULES = [
     ("capitals", f"n_letters > 20 and {_ratio('n_upper', 'n_letters')} > 0.4", f"n_letters > 20 and {_ratio('n_upper', 'n_letters')} < 0.2"),
     ("bars", f"{_ratio('n_bars', 'n_words')} > 0.1", f"{_ratio('n_bars', 'n_words')} < 0.02"),
     ("bangs", f"{_ratio('n_bangs', 'n_words')} > 0.1", f"{_ratio('n_bangs', 'n_words')} < 0.02"),
-    ("stutter", f"n_words > 20 and {_ratio('n_twice', 'n_words')} > 0.2", f"{_ratio('n_twice', 'n_words')} < 0.1"),
+    ("stutter", f"n_words >= 10 and {_ratio('n_twice', 'n_words')} > 0.2", f"{_ratio('n_twice', 'n_words')} < 0.1"),
     ("duplicate_lines", f"n_lines >= 4 and {_ratio('n_dup_lines', 'n_lines')} > 0.5", f"n_lines >= 4 and {_ratio('n_dup_lines', 'n_lines')} < 0.1"),
     ("length", "n_words < 10", "n_words >= 40"),
 ]
@@ -120,10 +125,10 @@ def fit(patterns: list[str], counts: np.ndarray, rounds: int = 100) -> dict[str,
         log = np.full(len(w), np.log(prior)), np.full(len(w), np.log(1 - prior))
         for j in range(v.shape[1]):
             is_good, is_bad = v[:, j] == 1, v[:, j] == 0
-            # a pseudo-count of each keeps rates off 0 and 1; a rule is never worse than chance on good texts
+            # a pseudo-count of each keeps rates off 0 and 1
             right = (w * good)[is_good].sum() + 1, (w * good)[is_bad].sum() + 0.01
             wrong = (w * (1 - good))[is_good].sum() + 1, (w * (1 - good))[is_bad].sum() + 1
-            keeps = np.clip(right[0] / sum(right), 0.5, 0.9999)  # good votes among votes on good texts
+            keeps = np.clip(right[0] / sum(right), 1 - FALSE_ALARMS, 0.9999)  # good votes among votes on good texts
             flags = np.clip(wrong[1] / sum(wrong), 1 - keeps + 1e-4, 0.9999)  # bad votes among votes on bad texts
             log[0][is_good] += np.log(keeps)
             log[0][is_bad] += np.log(1 - keeps)
