@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from . import common as C
 
-REMEMBER = 300_000
+REMEMBER = 500_000
 LONG = 64  # pre-tokens of more bytes than this are not remembered
 
 
@@ -107,33 +107,39 @@ class PerfectHash:
         return self.rank[s] if self.keys[s] == key else None
 
 
-def merge(piece: bytes, get) -> list[int]:
-    """Ranks of a piece that is no token itself, by a heap over linked bytes."""
+def merge(piece: bytes, rank) -> list[int]:
+    """Ranks of a piece that is no token itself, by a heap over linked bytes.
+
+    rank: the rank of the bytes of a part, None if they are no token. A heap entry is one
+    number: rank, place of the left part, end of the right part.
+    """
     n = len(piece)
-    end = list(range(1, n + 1))  # where the part that starts here ends
-    before = list(range(-1, n - 1))
-    dead = bytearray(n)
-    heap = []
-    for i in range(n - 1):
-        if (r := get(piece[i : i + 2])) is not None:
-            heap.append((r, i, i + 2))
+    wide = n + 1
+    end = list(range(1, wide))  # where the part that starts here ends; 0 if none starts here
+    before = list(range(-1, n - 1))  # where the part before it starts
+    heap = [(r * wide + i) * wide + i + 2 for i in range(n - 1) if (r := rank(piece[i : i + 2])) is not None]
     heapq.heapify(heap)
+    pop, push = heapq.heappop, heapq.heappush
     while heap:
-        _, i, stop = heapq.heappop(heap)
-        if dead[i] or (j := end[i]) >= n or end[j] != stop:
+        x, stop = divmod(pop(heap), wide)
+        i = x % wide
+        j = end[i]
+        if not j or j >= n or end[j] != stop:
             continue  # one of the two parts has changed since
-        dead[j] = 1
+        end[j] = 0
         end[i] = stop
         if stop < n:
             before[stop] = i
-            if (r := get(piece[i : end[stop]])) is not None:
-                heapq.heappush(heap, (r, i, end[stop]))
-        if (b := before[i]) >= 0 and (r := get(piece[b:stop])) is not None:
-            heapq.heappush(heap, (r, b, stop))
+            if (r := rank(piece[i : end[stop]])) is not None:
+                push(heap, (r * wide + i) * wide + end[stop])
+        b = before[i]
+        if b >= 0 and (r := rank(piece[b:stop])) is not None:
+            push(heap, (r * wide + b) * wide + stop)
     out, i = [], 0
     while i < n:
-        out.append(get(piece[i : end[i]]))
-        i = end[i]
+        j = end[i]
+        out.append(rank(piece[i:j]))
+        i = j
     return out
 
 
@@ -142,6 +148,7 @@ class Encoder:
         self.hash = known
         self.tokens = known.tokens()
         self.digits = [str(i) for i in range(known.n)]
+        self.parts = {t: i for i, t in enumerate(self.tokens)}  # for the merges of misses
         self.split = regex.compile(pattern).findall
         known = self
 
@@ -149,7 +156,7 @@ class Encoder:
             def __missing__(self, piece: str) -> list[int]:
                 raw = piece.encode("utf-8", "surrogatepass")
                 r = known.hash.get(raw)
-                ids = [r] if r is not None else merge(raw, known.hash.get)
+                ids = [r] if r is not None else merge(raw, known.parts.get)
                 if len(raw) <= LONG:
                     if len(self) >= REMEMBER:
                         self.clear()
