@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 
 import numpy as np
@@ -79,6 +80,16 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def tidy(spark: SparkSession) -> None:
+    """Let go of shuffle files that nothing needs any more.
+
+    Spark removes them when the driver's JVM collects the plans they belong to, which an
+    idle driver may not do for long; a chain of checkpointed steps would pile them up.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def small_batches(spark: SparkSession, rows: int = 512) -> None:
     """Bound what one Arrow batch of texts holds, so that Python workers stay small."""
     now = int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", "10000"))
