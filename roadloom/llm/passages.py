@@ -1,0 +1,125 @@
+"""Repeated passages by overlapping windows of fifty words, wherever they stand in lines.
+
+Words are what ASCII white space separates. A window's key is a 128-bit hash of its words. Of
+windows that occur more than once anywhere, the occurrence that comes first by (doc_id, text
+key, word number) stays as it is; the words of every later one are removed, each with the
+white space after it. As in line_dedup, what is removed is still present where it occurs first.
+
+Equal windows have equal least hashes of their runs of eight words, at places of their own. So
+only windows around a least hash that occurs at two places or more are hashed whole; these
+places are about one in twenty words, and no repeated window is missed by it.
+
+Defined results: texts of fewer words than a window stay as they are. A null text stays null.
+A null doc_id comes after all others. Rows that repeat with the same doc_id and text count as
+one occurrence and get the same result. Scripts without white space make few words; there only
+whole lines are compared, by line_dedup.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from . import common as C
+from .line_dedup import drop_lines
+
+WIDTH = 50
+#: Words of a run whose hash selects windows.
+RUN = 8
+#: A hash's upper bits and a place below them, in one number.
+PLACE = (1 << 24) - 1
+
+
+def _words(text: Column) -> Column:
+    return F.regexp_extract_all(text, F.lit(C.WORD), F.lit(0))
+
+
+def _places(docs: DataFrame, width: int) -> DataFrame:
+    """(doc_id, text_key, hash, at): the least hashes of a document's windows and their places."""
+    run = min(RUN, width)
+    hashed = docs.where("text is not null").select("doc_id", C.text_key(F.col("text")).alias("text_key"), F.transform(_words(F.col("text")), lambda w: F.xxhash64(w)).alias("w"))
+    hashed = hashed.where(F.size("w") >= width)
+    runs = F.transform(F.sequence(F.lit(0), F.size("w") - run), lambda i: F.xxhash64(F.slice("w", i + 1, run)).bitwiseAND(F.lit(~PLACE)).bitwiseOR(i.cast("bigint").bitwiseAND(F.lit(PLACE))))
+    runs = hashed.select("doc_id", "text_key", runs.alias("r"))
+    span = width - run + 1
+    least = F.transform(F.sequence(F.lit(1), F.size("r") - span + 1), lambda i: F.array_min(F.slice("r", i, span)))
+    out = runs.select("doc_id", "text_key", F.explode(F.array_distinct(least)).alias("p"))
+    return out.select("doc_id", "text_key", F.shiftright("p", 24).alias("hash"), F.col("p").bitwiseAND(F.lit(PLACE)).cast("int").alias("at"))
+
+
+def repeated_words(docs: DataFrame, width: int = WIDTH) -> DataFrame:
+    """(doc_id, text_key, gone): the word numbers to remove, for documents that have any."""
+    run = min(RUN, width)
+    places = C.cut(_places(docs, width))
+    often = places.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("hash")
+    near = C.cut(places.join(often, "hash", "left_semi").groupBy(F.col("doc_id").alias("id"), F.col("text_key").alias("key")).agg(F.collect_set("at").alias("at")))
+    C.tidy(docs.sparkSession)
+    keyed = docs.where("text is not null").select("doc_id", C.text_key(F.col("text")).alias("text_key"), "text")
+    some = keyed.join(near, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("text_key") == F.col("key"))).select("doc_id", "text_key", _words(F.col("text")).alias("w"), "at")
+    starts = F.array_distinct(F.flatten(F.transform("at", lambda q: F.sequence(F.greatest(F.lit(0), q - (width - run)), F.least(q, F.size("w") - width)))))
+
+    def window(i: Column) -> Column:
+        h1, h2 = C.hash2(F.slice("w", i + 1, width))
+        return F.struct(i.alias("pos"), h1.alias("h1"), h2.alias("h2"))
+
+    seen = C.cut(some.select("doc_id", "text_key", F.inline(F.transform(starts, window))))
+    C.tidy(docs.sparkSession)
+    order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_key", "pos")
+    first = seen.groupBy("h1", "h2").agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").select("h1", "h2", "first")
+    later = seen.join(first, ["h1", "h2"]).where(order > F.col("first"))
+    found = later.groupBy("doc_id", "text_key").agg(F.collect_set("pos").alias("at"))
+    covered = F.array_distinct(F.flatten(F.transform("at", lambda p: F.sequence(p, p + (width - 1)))))
+    out = C.cut(found.select("doc_id", "text_key", covered.alias("gone")))
+    del seen, first, later, found, places, often, near, some
+    C.tidy(docs.sparkSession)
+    return out
+
+
+def _without(flat: DataFrame, doc_id: str, text: str, width: int) -> DataFrame:
+    """flat with __text (the text without its repeated passages) and __gone, a count of words."""
+    found = repeated_words(flat.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), width)
+    found = found.select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"), F.col("gone").alias("__at"))
+    keyed = flat.withColumn("__mine", C.text_key(F.col(text)))
+    both = keyed.join(found, F.col(doc_id).eqNullSafe(F.col("__id")) & (F.col("__mine") == F.col("__key")), "left")
+    pieces = F.regexp_extract_all(F.col(text), F.lit(C.WORD + C.SPACE.replace("+", "*")), F.lit(0))
+    both = both.withColumn("__pieces", F.when(F.col("__at").isNotNull(), pieces))
+    left = F.array_except(F.sequence(F.lit(0), F.size("__pieces") - 1), F.col("__at"))
+    lead = F.regexp_extract(F.col(text), f"^{C.SPACE}", 0)
+    cut = F.when(F.col("__at").isNull(), F.col(text)).otherwise(F.concat(lead, F.array_join(F.transform(left, lambda i: F.get("__pieces", i)), "")))
+    return both.withColumns({"__text": cut, "__gone": F.when(F.col("__at").isNull(), 0).otherwise(F.size("__at")).cast("bigint")})
+
+
+def passage_report(docs: DataFrame, width: int = WIDTH) -> DataFrame:
+    """One row per document: doc_id, n_words_removed, text (what is left)."""
+    return _without(C.pick(docs, "doc_id", "text"), "doc_id", "text", width).select("doc_id", F.col("__gone").alias("n_words_removed"), F.col("__text").alias("text"))
+
+
+def drop_passages(docs: DataFrame, width: int = WIDTH) -> DataFrame:
+    """docs with the texts that are left; a column n_chars gets their length."""
+    flat, names = C.positional(docs)
+    doc_id, text = (f"__c{C.place(names, n)}" for n in ("doc_id", "text"))
+    out = _without(flat, doc_id, text, width)
+    cols = [F.col("__text") if c == text else F.when(F.col("__at").isNull(), F.col(c)).otherwise(F.length("__text").cast("bigint")) if n == "n_chars" else F.col(c) for c, n in zip(flat.columns, names, strict=True)]
+    return out.select(*[c.alias(f"__o{i}") for i, c in enumerate(cols)]).toDF(*names)
+
+
+def drop_repeated(docs: DataFrame) -> DataFrame:
+    """docs without the later occurrences of three-line windows and then of passages."""
+    flat, names = C.positional(drop_lines(docs))
+    flat = C.cut(flat)
+    C.tidy(docs.sparkSession)
+    return drop_passages(flat.toDF(*names))
+
+
+# --- queries --------------------------------------------------------------------------
+
+
+def op2_passage_dedup(spark, sf_dir: str) -> DataFrame:
+    """All documents without the later occurrences of three-line windows and of passages."""
+    return drop_repeated(C.pick(C.table(spark, sf_dir, "documents"), "doc_id", "text"))
+
+
+QUERIES = {"op2_passage_dedup": op2_passage_dedup}
+
+#: The oracle of op2_line_dedup has lines only; tests/llm holds this one against brute force.
+SQL = {}

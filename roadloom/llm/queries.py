@@ -5,7 +5,7 @@ from __future__ import annotations
 from importlib import import_module
 
 #: Modules that hold QUERIES and SQL.
-MODULES = ["licenses", "line_dedup", "mixing", "quality_model", "toxicity", "secrets", "bpe", "near_dedup", "exact_dedup", "quality_rules"]
+MODULES = ["licenses", "line_dedup", "passages", "mixing", "quality_model", "toxicity", "secrets", "bpe", "near_dedup", "exact_dedup", "quality_rules"]
 
 QUERIES, SQL = {}, {}
 for _name in MODULES:

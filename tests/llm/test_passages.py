@@ -1,0 +1,46 @@
+import random
+
+from roadloom.llm import passages as P
+from tests.llm.conftest import make
+
+
+def brute_passages(rows, width):
+    """(id, text) -> what is left of single-blank texts; later occurrences of windows go."""
+    first, out = set(), {}
+    for i, t in sorted(set(rows)):
+        words, gone = t.split(" "), set()
+        for p in range(len(words) - width + 1):
+            win = tuple(words[p : p + width])
+            if win in first:
+                gone |= set(range(p, p + width))
+            first.add(win)
+        out[i] = [w for p, w in enumerate(words) if p not in gone]
+    return out
+
+
+def test_passages_match_brute_force(spark, words):
+    r = random.Random(31)
+    parts = [[r.choice(words) for _ in range(r.randint(5, 40))] for _ in range(12)]
+    rows = [(i, " ".join(w for _ in range(r.randint(1, 6)) for w in r.choice(parts)), "a") for i in range(80)]
+    rows += [(200, " ".join(["same"] * 90), "a"), (201, " ".join(["same"] * 30), "a"), (202, " ".join(["a", "b"] * 40), "a")]
+    for width in (5, 12, 25):
+        want = brute_passages([(i, t) for i, t, _ in rows], width)
+        got = {x.doc_id: x.text.split() for x in P.passage_report(make(spark, rows), width).collect()}
+        assert got == want, width
+
+
+def test_passage_in_the_middle_of_lines(spark, words):
+    r = random.Random(32)
+    text = lambda n: " ".join(r.choice(words) for _ in range(n))
+    planted, whole = text(60), text(70)
+    rows = [(1, f"  {text(30)} {planted} {text(30)}", "a"), (2, f"{text(20)}\n{text(9)} {planted}\n{text(40)}", "a"), (3, whole, "b"), (4, whole, "b"), (5, None, "b"), (6, "few words", "b")]
+    got = {x.doc_id: x for x in P.drop_repeated(make(spark, rows)).collect()}
+    assert got[1].text == rows[0][1] and got[3].text == whole and got[5].text is None and got[6].text == "few words"
+    assert planted not in got[2].text and got[2].text == rows[1][1].replace(planted + "\n", "") and got[4].text == ""
+    assert all(x.n_chars == len(x.text) for x in got.values() if x.text is not None)
+
+
+def test_passages_of_odd_rows(spark, clashing, empty_docs, odd_rows):
+    out = P.drop_repeated(clashing)
+    assert out.columns == clashing.columns and out.count() == len(odd_rows)
+    assert P.passage_report(empty_docs).count() == 0
