@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..config import Graph
 from ..functions import scalar as S
 from ..operators import graph as G
 from . import views as V
@@ -172,11 +173,43 @@ def junction_bypass(spark, d):
     SELECT src, array_to_string(path, '>') AS path, dst FROM w WHERE NOT EXISTS (SELECT 1 FROM bad WHERE bad.src = w.src AND bad.dst = w.dst AND list_contains(w.path, bad.via))
 """)
 def restricted_paths(spark, d):
-    p = G.junction_paths(_edges(spark, d), 4)
+    return _allowed(G.junction_paths(_edges(spark, d), 4))
+
+
+def _allowed(p):
     r = p.where("size(path) >= 2 and cast(src as bigint) % 3 = 0").select(F.col("src").alias("rs"), F.col("dst").alias("rd"), F.slice("path", 1, 1).alias("via")).distinct()
     return p.join(r, (p.src == r.rs) & (p.dst == r.rd) & G.subsequence(r.via, p.path), "left_anti").select("src", F.array_join("path", ">").alias("path"), "dst")
 
 
+#: The queries above stop at 4 junction segments, as their SQL does; those below go as deep as config.
+DEPTH = Graph().depth
+
+
+def deep(text: str) -> str:
+    return text.replace("c.n + t.inner_dst::INT <= 4", f"c.n + t.inner_dst::INT <= {DEPTH}")
+
+
+@query(deep(f"WITH RECURSIVE {_PATHS} SELECT src, array_to_string(path, '>') AS path, here AS dst, n::BIGINT AS n FROM c WHERE done"))
+def junction_chain_paths_deep(spark, d):
+    return G.junction_paths(_edges(spark, d), DEPTH).select("src", F.array_join("path", ">").alias("path"), "dst", F.col("n").cast("bigint").alias("n"))
+
+
+@query(deep(f"""
+    WITH RECURSIVE {_PATHS}, k AS (SELECT c.src, c.here AS dst, min(c.n) AS n FROM c WHERE done GROUP BY 1, 2), w AS (SELECT k.*, a.u AS su, b.v AS dv, {_DELTA.format(a="a.hd", b="b.hd")} AS delta FROM k JOIN h a ON a.segment_id = k.src JOIN h b ON b.segment_id = k.dst)
+    SELECT src, CASE WHEN su = dv OR abs(delta) >= 170 THEN 'u_turns_into' WHEN abs(delta) > 25 THEN 'turns_into' ELSE 'to' END AS relation, dst, n::BIGINT AS n FROM w
+"""))
+def junction_bypass_deep(spark, d):
+    return G.bypassed(_edges(spark, d), DEPTH).select("src", "relation", "dst", F.col("n").cast("bigint").alias("n"))
+
+
+@query(deep(f"""
+    WITH RECURSIVE {_PATHS}, w AS (SELECT src, here AS dst, path FROM c WHERE done), bad AS (SELECT DISTINCT src, dst, path[1] AS via FROM w WHERE len(path) >= 2 AND src::BIGINT % 3 = 0)
+    SELECT src, array_to_string(path, '>') AS path, dst FROM w WHERE NOT EXISTS (SELECT 1 FROM bad WHERE bad.src = w.src AND bad.dst = w.dst AND list_contains(w.path, bad.via))
+"""))
+def restricted_paths_deep(spark, d):
+    return _allowed(G.junction_paths(_edges(spark, d), DEPTH))
+
+
 @query("""
     WITH d AS (SELECT node, count(DISTINCT segment_id) AS deg FROM (SELECT u AS node, segment_id FROM edges UNION ALL SELECT v, segment_id FROM edges) GROUP BY 1)
     SELECT segment_id, length <= 120 AND a.deg >= 7 AND b.deg >= 7 AS is_shape_junction, lower(highway) = 'primary_link' AS is_semantic_junction, (length <= 120 AND a.deg >= 7 AND b.deg >= 7) OR lower(highway) = 'primary_link' AS is_internal_junction
