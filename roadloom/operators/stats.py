@@ -67,19 +67,29 @@ def binned(df: DataFrame, key: str, x: str, bins: int) -> DataFrame:
     return df.join(ends, key).withColumn("bin", F.least(F.lit(bins - 1), at).cast("bigint")).drop("__lo", "__hi")
 
 
-def density_quota(df: DataFrame, key: str, x: str, bins: int, most: int) -> DataFrame:
-    """How many of each bin a sample of at most ``most`` takes, by the square of its count."""
+def density_quota(df: DataFrame, key: str, x: str, bins: int, most: int, power: float = 1.0) -> DataFrame:
+    """How many of each bin a sample of about ``most`` takes: all of a key that has no more,
+    else a rounded share by a power of the bin's count."""
+    counts = binned(df, key, x, bins).groupBy(key, "bin").agg(F.count(F.lit(1)).alias("n"))
+    weight = F.pow(F.col("n").cast("double"), F.lit(power))
+    total = counts.groupBy(key).agg(F.sum("n").alias("__all"), F.sum(weight).alias("__w"))
+    quota = F.when(F.col("__all") <= most, F.col("n")).otherwise(F.least(F.col("n"), F.rint(weight / F.col("__w") * most))).cast("bigint")
+    return counts.join(total, key).select(key, "bin", "n", quota.alias("quota"))
+
+
+def squared_quota(df: DataFrame, key: str, x: str, bins: int, most: int) -> DataFrame:
+    """Like density_quota, but always by the square of a bin's count, and rounded down."""
     counts = binned(df, key, x, bins).groupBy(key, "bin").agg(F.count(F.lit(1)).alias("n"))
     total = counts.groupBy(key).agg(F.sum(F.col("n") * F.col("n")).alias("w"))
     quota = F.least(F.col("n"), F.floor(F.lit(float(most)) * F.col("n") * F.col("n") / F.col("w"))).cast("bigint")
     return counts.join(total, key).select(key, "bin", "n", quota.alias("quota"))
 
 
-def density_sample(df: DataFrame, key: str, x: str, row: str, by: Column, bins: int, most: int) -> DataFrame:
+def density_sample(df: DataFrame, key: str, x: str, row: str, by: Column, bins: int, most: int, quota=density_quota) -> DataFrame:
     """The sample itself: in each bin the rows with the smallest hash."""
     placed = binned(df, key, x, bins).withColumn("__by", by)
     nth = F.row_number().over(Window.partitionBy(key, "bin").orderBy("__by", row))
-    return placed.withColumn("__nth", nth).join(density_quota(df, key, x, bins, most).select(key, "bin", "quota"), [key, "bin"]).where("__nth <= quota").drop("__nth", "__by", "quota")
+    return placed.withColumn("__nth", nth).join(quota(df, key, x, bins, most).select(key, "bin", "quota"), [key, "bin"]).where("__nth <= quota").drop("__nth", "__by", "quota")
 
 
 def traversal_checks(points: DataFrame, most_outliers: float, most_gap: float) -> DataFrame:
