@@ -18,6 +18,8 @@ empty result.
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -60,6 +62,40 @@ Permission is granted to anyone to use this software for any purpose, including
 3. This notice may not be removed or altered from any source distribution.""",
 }
 
+#: Title lines that stand before a text in license files.
+TITLES = {
+    "ISC": ["ISC License", "The ISC License", "ISC License (ISC)", "ISC License (ISCL)"],
+    "MIT": ["MIT License", "The MIT License", "The MIT License (MIT)", "MIT License (MIT)", "Expat License", "MIT"],
+    "Zlib": ["zlib License", "The zlib License", "zlib/libpng License", "The zlib/libpng License", "zlib License (Zlib)"],
+    "BSD-2-Clause": ["BSD 2-Clause License", "The 2-Clause BSD License", "The BSD 2-Clause License", "Simplified BSD License", 'BSD 2-Clause "Simplified" License', "BSD License"],
+    "BSD-3-Clause": ["BSD 3-Clause License", "The 3-Clause BSD License", "The BSD 3-Clause License", "New BSD License", 'BSD 3-Clause "New" or "Revised" License', "BSD License"],
+}
+
+_BSD = [
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:",
+    "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.",
+    "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.",
+    "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
+    """THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.""",
+]
+
+
+def full_texts() -> list[tuple[str, str]]:
+    """(license_id, text): the whole texts in license_texts and above, with and without the
+    lines that license files put before or after them, and clauses with numbers or marks."""
+    out = [(p.stem, p.read_text()) for p in sorted((Path(__file__).parent / "license_texts").glob("*.txt"))]
+    for name, text in list(out):
+        at = text.find("APPENDIX: How to apply")
+        at = at if at > 0 else text.find("How to Apply These Terms to Your New")
+        if at > 0:
+            out.append((name, text[:at]))
+    for name, clauses in (("BSD-2-Clause", _BSD[1:3]), ("BSD-3-Clause", _BSD[1:4])):
+        for mark in ("{}. ", "* "):
+            out.append((name, "\n\n".join([_BSD[0], *[mark.format(i) + c for i, c in enumerate(clauses, 1)], _BSD[4]])))
+    out += TEXTS.items()
+    return out + [(name, f"{title}\n\n{text}") for name, text in out for title in TITLES.get(name, [])]
+
+
 _A, _Z = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _COPYRIGHT = "(^|\\n)[\\x20\\t/*#;-]*(copyright|\\(c\\)|all rights reserved)[^\\n]*"
 _PUNCTUATION = "[\\x00-\\x09\\x0B-\\x2F\\x3A-\\x60\\x7B-\\x7F\\x{A0}\\x{A9}\\x{AE}\\x{2010}-\\x{2027}]+"
@@ -78,7 +114,7 @@ def canonical_lines(text: Column) -> Column:
 def known_digests(spark, texts: DataFrame | None = None) -> DataFrame:
     """(digest, license_id) of the known texts, by default those listed here."""
     if texts is None:
-        rows = [(k, t) for k, v in NOTICES.items() for t in v] + list(TEXTS.items())
+        rows = [(k, t) for k, v in NOTICES.items() for t in v] + full_texts()
         texts = spark.createDataFrame(rows, "license_id string, text string")
     whole = C.pick(texts, "license_id", "text").select("license_id", F.array_join(canonical_lines(F.col("text")), " ").alias("canon"))
     out = whole.where("canon <> ''").groupBy(F.md5("canon").alias("digest")).agg(F.min("license_id").alias("license_id"))
