@@ -56,7 +56,7 @@ def best_predecessor(edges: DataFrame, config: Graph = Graph()) -> DataFrame:
     return t.join(link, "src").withColumn("__n", F.row_number().over(best)).where("__n = 1").select("dst", "src", "delta")
 
 
-def chain(step: DataFrame, lengths: DataFrame, reach: float, first: DataFrame | None = None, most: int = 20) -> DataFrame:
+def chain(step: DataFrame, lengths: DataFrame, reach: float, first: DataFrame | None = None) -> DataFrame:
     """(src, ord, dst, length): what follows a segment, one by one, until ``reach`` is covered.
 
     step: (src, dst), at most one dst each. A chain ends before a segment that it already
@@ -69,7 +69,7 @@ def chain(step: DataFrame, lengths: DataFrame, reach: float, first: DataFrame |
     grow = now
     if first is not None:
         grow = now.join(first.select("src", "dst"), ["src", "dst"], "left_anti")
-    for _ in range(most):
+    while True:  # ends, since no path repeats a segment
         grow = cut(grow.where(F.col("sofar") < reach).join(hop, grow.dst == hop["at"]).where(~F.array_contains("path", F.col("next"))).select("src", (F.col("ord") + 1).alias("ord"), F.col("next").alias("dst"), F.col("step_len").alias("length"), (F.col("sofar") + F.col("step_len")).alias("sofar"), F.concat("path", F.array("next")).alias("path")))
         if grow.isEmpty():
             break
