@@ -7,10 +7,12 @@ pre-token's bytes form a linked list, a heap holds the mergeable neighbours by (
 and the least one merges until none is left; stale heap entries are skipped. A pre-token of n
 bytes costs O(n log n), so a long run without a break is no danger.
 
-Each worker remembers what recent pre-tokens came to, within a bound of entries and bytes;
-forgetting costs time only. The vocabulary is a parameter (a rank file's path). It is read
-where the session runs and sent to the workers as one broadcast; it has a fixed size,
-whatever the data's.
+Each task remembers what recent pre-tokens came to, in two generations of a bounded number
+of entries: when the young one is full it becomes the old one, and what is used again moves
+back, so frequent pre-tokens are never forgotten. Forgetting costs time only, and all of it is
+let go at the task's end: a Python worker that is used again keeps nothing for other stages.
+The vocabulary is a parameter (a rank file's path). It is read where the session runs and sent
+to the workers as one broadcast; it has a fixed size, whatever the data's.
 
 Decoding joins the tokens' bytes, so decode(encode(t)) is t for every text.
 
@@ -36,7 +38,7 @@ from pyspark.sql import functions as F
 
 from . import common as C
 
-REMEMBER = 500_000
+REMEMBER = 160_000  # entries of a generation; about 35 MB
 LONG = 64  # pre-tokens of more bytes than this are not remembered
 
 
@@ -143,27 +145,35 @@ def merge(piece: bytes, rank) -> list[int]:
     return out
 
 
+class Memory(dict):
+    """Ids by pre-token: found by the perfect hash, else by merging; two generations."""
+
+    def __init__(self, known: PerfectHash, rank, most: int):
+        super().__init__()
+        self.known, self.rank, self.most, self.old = known, rank, most, {}
+
+    def __missing__(self, piece: str) -> tuple[int, ...]:
+        ids = self.old.get(piece)
+        if ids is None:
+            raw = piece.encode("utf-8", "surrogatepass")
+            r = self.known.get(raw)
+            ids = (r,) if r is not None else tuple(merge(raw, self.rank))
+            if len(raw) > LONG:
+                return ids
+        if len(self) >= self.most:
+            self.old = dict(self)
+            self.clear()
+        self[piece] = ids
+        return ids
+
+
 class Encoder:
     def __init__(self, known: PerfectHash, pattern: str):
-        self.hash = known
         self.tokens = known.tokens()
         self.digits = [str(i) for i in range(known.n)]
-        self.parts = {t: i for i, t in enumerate(self.tokens)}  # for the merges of misses
+        parts = {t: i for i, t in enumerate(self.tokens)}  # ranks of what merges make
         self.split = regex.compile(pattern).findall
-        known = self
-
-        class Memory(dict):
-            def __missing__(self, piece: str) -> list[int]:
-                raw = piece.encode("utf-8", "surrogatepass")
-                r = known.hash.get(raw)
-                ids = [r] if r is not None else merge(raw, known.parts.get)
-                if len(raw) <= LONG:
-                    if len(self) >= REMEMBER:
-                        self.clear()
-                    self[piece] = ids
-                return ids
-
-        self.memory = Memory()
+        self.memory = Memory(known, parts.get, REMEMBER)
 
     def encode(self, text: str) -> list[int]:
         return list(chain.from_iterable(map(self.memory.__getitem__, self.split(text))))
@@ -184,21 +194,9 @@ def default_path() -> str:
     return public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
-_encoders: dict = {}
-
-
-def _encoder(shared, pattern: str) -> Encoder:
-    """The worker process's encoder, kept from task to task while the vocabulary is one."""
-    name = (id(shared.value), pattern)
-    if name not in _encoders:
-        _encoders.clear()
-        _encoders[name] = Encoder(shared.value, pattern)
-    return _encoders[name]
-
-
 def _run(shared, pattern: str, ids_too: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = _encoder(shared, pattern)
+        coder = Encoder(shared.value, pattern)  # this task's only: nothing stays in the worker
         digits = coder.digits
         for batch in batches:
             counts, names, raws, lists = [], [], [], []
