@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import gc
 import tempfile
+import uuid
+from contextlib import contextmanager
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -75,9 +77,68 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """df computed once into the shared checkpoint folder; survives lost executors."""
+    """df computed once into the shared checkpoint folder; survives lost executors.
+
+    What the optimizer knows about df's columns isn't carried on: in a loop of joins that
+    knowledge doubles with every step.
+    """
     shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    with option(df.sparkSession, "spark.sql.constraintPropagation.enabled", "false"):
+        return df.checkpoint(eager=True)
+
+
+def stored(df: DataFrame) -> tuple[DataFrame, str]:
+    """(df, place): df as a compressed table of its own in the shared folder."""
+    spark = df.sparkSession
+    place = f"{shared_dir(spark).rstrip('/')}/table-{uuid.uuid4().hex}"
+    df.write.parquet(place)
+    return spark.read.schema(df.schema).parquet(place), place
+
+
+def removed(spark: SparkSession, place: str) -> None:
+    """Delete a stored table that nothing reads any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(place)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+@contextmanager
+def option(spark: SparkSession, name: str, value: str):
+    """A session option for a while."""
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
+SHARE, LEAST = 512, 500
+
+
+def spread_join(big: DataFrame, small: DataFrame, key: list[str], by: Column, how: str = "inner", counted: str | None = None, like: DataFrame | None = None) -> DataFrame:
+    """big joined with small on key, with hot keys of big dealt over many tasks.
+
+    A key is hot if more than 1 / SHARE of big's rows (and more than LEAST rows) have it, so
+    there are fewer than SHARE hot keys whatever the data: only these and their counts come to
+    the driver and are broadcast. Rows of a hot key go to parts by ``by``, and small's rows of
+    that key are repeated once for each part. No row is dropped. The keys of ``like`` (big, if
+    not given) are counted, which must be cheap to read again (cut, or a scan); or counted
+    names a column of small that tells how many rows of big have its key.
+    """
+    sizes = (big if like is None else like).groupBy(*key).agg(F.count(F.lit(1)).alias("__n")) if counted is None else small.select(*key, F.col(counted).alias("__n"))
+    total = int(sizes.agg(F.sum("__n")).first()[0] or 0)
+    limit = max(LEAST, total // SHARE)
+    hot = [] if total <= limit else sizes.where(F.col("__n") > limit).select(*key, F.ceil(F.col("__n") / limit).cast("int").alias("__parts")).collect()  # fewer than SHARE rows
+    if not hot:
+        return big.join(small, key, how)
+    known = F.broadcast(big.sparkSession.createDataFrame(hot, small.select(*key, F.lit(0).alias("__parts")).schema))
+    parts = F.coalesce("__parts", F.lit(1))
+    left = big.join(known, key, "left").withColumn("__salt", F.pmod(by, parts).cast("int")).drop("__parts")
+    right = small.join(known, key, "left").withColumn("__salt", F.explode(F.sequence(F.lit(0), parts - 1))).drop("__parts")
+    return left.join(right, [*key, "__salt"], how).drop("__salt")
 
 
 def tidy(spark: SparkSession) -> None:
