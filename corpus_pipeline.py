@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from roadloom.llm import common
 from roadloom.llm.bpe import tokenized
+from roadloom.llm.line_dedup import drop_lines
 from roadloom.llm.mixing import mix
 from roadloom.llm.near_dedup import drop_near_duplicates
-from roadloom.llm.passages import drop_repeated
 from roadloom.llm.quality_rules import keep_good
 
 
@@ -18,8 +18,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Later occurrences of three-line windows and of 50-word passages go; n_chars follows."""
-    return drop_repeated(docs)
+    """Later occurrences of three-line windows go; n_chars follows."""
+    return drop_lines(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
