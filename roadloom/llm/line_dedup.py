@@ -129,9 +129,9 @@ SQL = {
         WITH d AS (SELECT DISTINCT doc_id, text, {_LINES} AS ls FROM documents WHERE text IS NOT NULL),
         l AS (SELECT doc_id, text, i, line, rtrim(line, chr(32) || chr(10)) AS bare, ends_with(line, chr(10)) OR i = n - 1 AS ends
               FROM (SELECT doc_id, text, unnest(ls) AS line, generate_subscripts(ls, 1) - 1 AS i, len(ls) AS n FROM d)),
-        w AS (SELECT doc_id, text, i, {{'a': bare, 'b': lead(bare) OVER o, 'c': lead(bare, 2) OVER o}} AS win, lead(bare, 2) OVER o IS NOT NULL AS full,
+        w AS (SELECT doc_id, text, i, {{'a': bare, 'b': lead(bare) OVER o, 'c': lead(bare, 2) OVER o}} AS win, lead(bare, 2) OVER o IS NOT NULL AS entire,
                      coalesce(lag(ends) OVER o, true) AND ends AND lead(ends) OVER o AND lead(ends, 2) OVER o AS whole FROM l WINDOW o AS (PARTITION BY doc_id, text ORDER BY i)),
-        c AS (SELECT *, length(regexp_replace(win.a || win.b || win.c, '[\\x20\\x09-\\x0D]', '', 'g')) AS letters FROM w WHERE full),
+        c AS (SELECT *, length(regexp_replace(win.a || win.b || win.c, '[\\x20\\x09-\\x0D]', '', 'g')) AS letters FROM w WHERE entire),
         again AS (SELECT doc_id, text, i, dense_rank() OVER (PARTITION BY win ORDER BY doc_id NULLS LAST, text, i) AS nth FROM c WHERE letters >= CASE WHEN whole THEN 1 ELSE {LETTERS} END),
         gone AS (SELECT DISTINCT doc_id, text, i + k AS i FROM again, (SELECT unnest([0, 1, 2]) AS k) WHERE nth > 1),
         kept AS (SELECT doc_id, text, string_agg(line, '' ORDER BY i) AS left_text FROM l ANTI JOIN gone USING (doc_id, text, i) GROUP BY doc_id, text),

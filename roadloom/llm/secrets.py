@@ -12,7 +12,8 @@ overlaps within a rule; matches that fail a rule's length test are dropped. Offs
 points, the end is exclusive.
 
 All of it is DataFrame expressions: offsets come from the lengths of what split() leaves
-between the matches and of the matches themselves.
+between the matches and of the matches themselves, added up in chunks, so that a text with
+very many matches takes time in proportion to them.
 
 Defined results: a null text counts as empty and has no spans (the base digest is then that
 of the empty string). Rows are judged one by one; repeated rows get the same spans. Extra
@@ -31,6 +32,9 @@ from pyspark.sql import functions as F
 from . import common as C
 
 MOST_STRINGS = 64
+#: Matches whose places are added up in one array.
+CHUNK = 256
+SPANS = "array<struct<start:int,ord:int,kind:string,stop:int>>"
 
 
 @dataclass(frozen=True)
@@ -193,13 +197,33 @@ def _spans(text: Column, rule: Rule, order: int) -> Column:
     tested = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(rule.group)) if rule.group else found
     facts = F.zip_with(F.zip_with(between, found, lambda g, m: F.struct(F.length(g).alias("g"), F.length(m).alias("m"))), tested, lambda x, t: F.struct(x.g.alias("g"), x.m.alias("m"), F.length(t).alias("t")))
     facts = F.filter(facts, lambda x: x.m.isNotNull())
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,ord:int,kind:string,stop:int>>").alias("got"))
+    return _let(facts, lambda f: _let(_parts(f, rule, order), _shifted))
+
+
+def _let(value: Column, body) -> Column:
+    """body(value), with value computed once."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
+def _parts(facts: Column, rule: Rule, order: int) -> Column:
+    """array<struct<at, got>>: for each CHUNK matches the length of text they take and their
+    spans from its start. Appending to arrays is quadratic, so only short ones are appended to."""
+    chunks = F.transform(F.sequence(F.lit(0), F.floor((F.size(facts) - 1) / CHUNK).cast("int")), lambda c: F.slice(facts, c * CHUNK + 1, CHUNK))
+    start = F.struct(F.lit(0).alias("at"), F.array().cast(SPANS).alias("got"))
 
     def step(a: Column, x: Column) -> Column:
         own = F.struct((a.at + x.g).alias("start"), F.lit(order).alias("ord"), F.lit(rule.kind).alias("kind"), (a.at + x.g + x.m).alias("stop"))
         return F.struct((a.at + x.g + x.m).alias("at"), F.when(x.t >= rule.least, F.concat(a.got, F.array(own))).otherwise(a.got).alias("got"))
 
-    return F.aggregate(facts, start, step, lambda a: a.got)
+    return F.when(F.size(facts) > 0, F.transform(chunks, lambda part: F.aggregate(part, start, step)))
+
+
+def _shifted(parts: Column) -> Column:
+    """The spans of all parts, from the text's start."""
+    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("got"))
+    begins = F.aggregate(parts, start, lambda a, x: F.struct((a.at + x.at).alias("at"), F.concat(a.got, F.array(a.at)).alias("got")), lambda a: a.got)
+    moved = F.zip_with(parts, begins, lambda x, b: F.transform(x.got, lambda s: F.struct((s.start + b).alias("start"), s.ord.alias("ord"), s.kind.alias("kind"), (s.stop + b).alias("stop"))))
+    return F.coalesce(F.flatten(moved), F.array().cast(SPANS))
 
 
 def scan(docs: DataFrame, rules: list[Rule] = RULES) -> DataFrame:
@@ -210,7 +234,7 @@ def scan(docs: DataFrame, rules: list[Rule] = RULES) -> DataFrame:
     trigrams = sorted({t for r in rules for x in trigram_query(r.pattern) for t in x})
     possible = candidates(postings(keyed, trigrams), rules, trigrams)
     joined = keyed.join(possible, ["k1", "k2"], "left")
-    none = F.array().cast("array<struct<start:int,ord:int,kind:string,stop:int>>")
+    none = F.array().cast(SPANS)
     text, cols = F.col("text"), []
     for n, rule in enumerate(rules):
         if trigram_query(rule.pattern) == [frozenset()]:

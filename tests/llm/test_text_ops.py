@@ -129,6 +129,46 @@ def test_em_trusts_rules_that_agree():
     assert got["gggg"] > 0.95 and got["bbbg"] < 0.1 and got["bbgg"] < 0.5
 
 
+def plain_em(rows, rounds=200):
+    """Posterior of good for each row of votes, row by row and rule by rule."""
+    import math
+
+    post = [1 - (sum(c == "b" for c in p) + 0.5) / (sum(c != "-" for c in p) + 1) for p in rows]
+    for _ in range(rounds):
+        prior = min(0.99, max(0.01, sum(post) / len(rows)))
+        rate = []
+        for j in range(len(rows[0])):
+            of = lambda share: (sum(share(x) for p, x in zip(rows, post) if p[j] == "b") + 1) / (sum(share(x) for p, x in zip(rows, post) if p[j] != "-") + 2)  # noqa: B023, B905, E731
+            rate.append((of(lambda x: x), of(lambda x: 1 - x)))
+        new = []
+        for p in rows:
+            odds = math.log(prior / (1 - prior))
+            for c, (g, b) in zip(p, rate, strict=True):
+                odds += math.log(g / b) if c == "b" else math.log((1 - g) / (1 - b)) if c == "g" else 0
+            new.append(1 / (1 + math.exp(-odds)))
+        post = new
+    return post
+
+
+def test_em_matches_a_plain_one_and_outvotes_a_wrong_rule():
+    counts = {"gggg": 500, "bbgg": 40, "bbbg": 30, "gbbg": 20, "gggb": 45, "gg-g": 60, "bgbg": 9}
+    got = quality_rules.fit(list(counts), np.array(list(counts.values())))
+    rows = [p for p, n in counts.items() for _ in range(n)]
+    for p, x in zip(rows, plain_em(rows), strict=True):
+        assert abs(got[p] - x) < 1e-6
+    assert got["gggb"] > 0.5 > got["bbgg"] and got["gbbg"] < 0.5  # the last rule never agrees with another
+
+
+def test_posterior_keeps_what_one_rule_alone_calls_bad(spark, words):
+    r = random.Random(14)
+    prose = lambda n: " ".join(r.choice(words) + ("." if i % 7 == 6 else "") for i in range(n))
+    rows = [(i, prose(80), "a") for i in range(200)] + [(300 + i, prose(15), "a") for i in range(8)]
+    rows += [(400 + i, " ".join(r.choice(words) + "###" for _ in range(60)), "a") for i in range(20)]
+    got = {x.doc_id: x for x in quality_rules.rate(make(spark, rows)).collect()}
+    assert all(got[i].kept for i in range(200)) and not any(got[400 + i].kept for i in range(20))
+    assert all(got[300 + i].kept for i in range(8))  # the rule of length calls them bad
+
+
 def brute_spans(t):
     out = []
     for n, rule in enumerate(secrets.RULES):
@@ -153,6 +193,17 @@ def test_secrets_match_brute_force(spark, clashing, empty_docs, odd_rows):
     assert secrets.scan(clashing).count() == len(odd_rows) and secrets.scan(empty_docs).count() == 0
 
 
+def test_secrets_in_a_text_with_very_many_matches(spark):
+    import time
+
+    text = " ".join(["0123456789abcdef"] * 100_000 + ["token=abcdefghijklmnop"])
+    began = time.time()
+    got = secrets.scan(make(spark, [(1, text, "a")])).first()
+    assert time.time() - began < 60  # appending one by one took minutes
+    assert (got.n_hex, got.n_assign) == (100_000, 1)
+    assert got.spans == ",".join([f"hex:{17 * i}:{17 * i + 16}" for i in range(100_000)] + ["assign:1700000:1700022"])
+
+
 def test_trigram_queries_are_mandatory():
     assert secrets.trigram_query("[0-9a-f]{16,}") == [frozenset()]
     assert secrets.trigram_query("AKIA[A-Z]+") == [frozenset({"aki", "kia"})]
