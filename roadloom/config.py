@@ -20,6 +20,8 @@ class Graph:
     depth: int = 10
     lane_rounds: int = 10
     signal_tolerance: float = 1.0
+    signal_offset: float = 3.5
+    signal_start: float = 15.0
 
 
 @dataclass(frozen=True)
@@ -43,6 +45,7 @@ class Traversal:
     gap: float = 15.0
     edge_min: float = 10.0
     edge_max: float = 35.0
+    edge_share: float = 0.5
     step: float = 10.0
     stopped: float = 0.1
     min_time: float = 2.0

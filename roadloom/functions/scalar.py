@@ -127,3 +127,29 @@ def speeds_in_ms(kmh: Column) -> Column:
 def one_of(value: Column, options: Sequence[str]) -> Column:
     """Pick an option by an integer's remainder."""
     return F.element_at(F.lit(list(options)), F.pmod(value, F.lit(len(options))).cast("int") + 1)
+
+
+def milliseconds(t: Column) -> Column:
+    """Whole milliseconds of seconds, cut off towards zero."""
+    return (t * 1000).cast("bigint")
+
+
+def first_element(x: Column) -> Column:
+    """The first of a list of tags; null if there is none."""
+    return F.try_element_at(x, F.lit(1))
+
+
+def is_signal(tags: Column) -> Column:
+    """Whether a node's tags (a map) make it a traffic signal, of a road or of a crossing."""
+    text = lambda k: F.coalesce(tags[k], F.lit(""))
+    return text("highway").contains("traffic_signals") | text("crossing").contains("traffic_signals") | F.lower(text("crossing:signals")).isin("yes", "true", "1")
+
+
+def is_tagged(x: Column) -> Column:
+    """Whether a tag says anything: not null, and no word for nothing."""
+    return F.coalesce(~F.lower(F.trim(x)).isin("none", "nan", "no", "", "null", "<na>"), F.lit(False))
+
+
+def is_named(x: Column) -> Column:
+    """Whether an id is there: not null, blank or 'nan'."""
+    return F.coalesce(~F.lower(F.trim(x)).isin("", "nan"), F.lit(False))

@@ -220,3 +220,13 @@ def contracted(edges: DataFrame) -> DataFrame:
             break
         changed = total
     return now.select("segment_id", F.col("head").alias("chain_id"), "ord")
+
+
+def rewired(edges: DataFrame, depth: int) -> DataFrame:
+    """(src, relation, dst, chain): what a segment leads straight to through junction segments,
+    with the junction segments in between, and the same seen from the other end, reversed. Of
+    several ways the one with fewest segments, then the first by their ids."""
+    best = junction_paths(edges, depth).groupBy("src", "dst").agg(F.min(F.struct("n", "path")).alias("m")).select("src", "dst", F.col("m.path").alias("chain"))
+    best = best.join(bypassed(edges, depth).where("relation = 'to'").select("src", "dst"), ["src", "dst"], "left_semi")
+    there = best.select("src", F.lit("to").alias("relation"), "dst", "chain")
+    return there.union(best.select(F.col("dst").alias("src"), F.lit("from").alias("relation"), F.col("src").alias("dst"), F.reverse("chain").alias("chain")))

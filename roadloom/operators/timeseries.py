@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -16,21 +19,30 @@ def min_gap(points: DataFrame, key: list[str], t: str, row: str, gap: Column | f
     """Keep a key's first point and then each that comes at least ``gap`` after the last kept.
 
     With jitter, the gap of a point varies by up to that share, by a hash of its row.
-    Only (t, row) are gathered, per key; the kept rows are joined back.
+    Only (key, t, row, gap) are sorted, within partitions by key; a task streams through them
+    and remembers the last kept time, so a key of any size takes no memory. The kept rows are
+    joined back.
     """
     wanted = F.lit(gap) if not isinstance(gap, Column) else gap
     if jitter:
         wanted = wanted * (1 + jitter * (F.pmod(F.xxhash64(row), F.lit(2001)) / 1000.0 - 1))
-    item = F.struct(F.col(t).alias("t"), F.col(row).alias("row"), wanted.alias("gap"))
-    kinds = dict(points.select(F.col(t).alias("t"), F.col(row).alias("row")).dtypes)
-    none = F.struct(F.lit(None).cast(kinds["t"]).alias("last"), F.array().cast(f"array<{kinds['row']}>").alias("rows"))
-
-    def step(a: Column, p: Column) -> Column:
-        keep = a["last"].isNull() | (p.t - a["last"] >= p.gap)
-        return F.when(keep, F.struct(p.t.alias("last"), F.concat(a.rows, F.array(p.row)).alias("rows"))).otherwise(a)
-
-    kept = points.groupBy(*key).agg(F.aggregate(F.sort_array(F.collect_list(item)), none, step, lambda a: a.rows).alias("rows"))
-    return points.join(kept.select(*key, F.explode("rows").alias(row)), [*key, row])
+    slim = points.select(*key, F.col(t).alias("__t"), F.col(row).alias("__row"), wanted.cast("double").alias("__gap"))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        now, last = None, 0.0
+        for pdf in batches:
+            keep = []
+            for name, at, least in zip(pdf[key].itertuples(index=False, name=None), pdf["__t"].tolist(), pdf["__gap"].tolist(), strict=True):
+                new = name != now or at - last >= least
+                if new:
+                    now, last = name, at
+                keep.append(new)
+            yield pdf.loc[keep, [*key, "__row"]]
+
+    kinds = dict(slim.dtypes)
+    schema = ", ".join(f"{c} {kinds[c]}" for c in [*key, "__row"])
+    kept = slim.repartition(*key).sortWithinPartitions(*key, "__t", "__row").mapInPandas(run, schema)
+    return points.join(kept.withColumnRenamed("__row", row), [*key, row], "left_semi")
 
 
 def runs(points: DataFrame, key: list[str], order: list[str], value: str, name: str = "run") -> DataFrame:

@@ -65,29 +65,33 @@ def natural_breaks(samples: DataFrame, key: str, x: str, k: int) -> DataFrame:
     return samples.select(key, x).groupBy(key).applyInPandas(run, f"{key} {dict(samples.dtypes)[key]}, breaks array<double>")
 
 
-def lane_search(values: np.ndarray, k0: int, manual: int | None, link: bool, config: Matching = Matching()) -> tuple[int, list[float], str]:
+def lane_search(values: np.ndarray, tagged: int | None, manual: int | None, link: bool, config: Matching = Matching()) -> tuple[int, list[float], str]:
     """(lanes, bounds, how): the first lane count whose class widths are all plausible.
 
-    A manual count or a link's own count is taken; a single lane tries two and three at
-    widths 1.6 to 4.5 m; others try k0 to k0 + 2 and then k0 - 1 and k0 - 2 at 1.75 to 4.5 m.
-    Too few values give an even grid.
+    The search starts from the values' width over that of a lane, rounded; for links with a
+    tagged count, from that. A manual count or a link's start is taken as it is; a single lane
+    tries two and three at widths 1.6 to 4.5 m; others try k0 to k0 + 2 and then k0 - 1 and
+    k0 - 2 at 1.75 to 4.5 m. One lane is the whole width. Too few values give an even grid.
     """
     values = np.asarray(values, float)
-    k0 = max(1, k0)
     if len(values) <= config.min_points:
-        n = manual or k0
+        n = manual or max(1, tagged or 1)
         return n, [i * config.lane_width for i in range(n + 1)], "grid"
-    if manual:
-        return manual, jenks(values, manual), "manual"
-    if link:
-        return k0, jenks(values, k0), "link"
-    options, low = ([2, 3], 1.6) if k0 == 1 else ([k0, k0 + 1, k0 + 2, k0 - 1, k0 - 2], 1.75)
+    low, high = float(values.min()), float(values.max())
+
+    def bounds(k: int) -> list[float]:
+        return [low, high] if k <= 1 else jenks(values, k)
+
+    k0 = max(1, tagged if link and tagged else round((high - low) / config.lane_width))
+    if manual or link:
+        return manual or k0, bounds(manual or k0), "manual" if manual else "link"
+    options, least = ([2, 3], 1.6) if k0 == 1 else ([k0, k0 + 1, k0 + 2, k0 - 1, k0 - 2], 1.75)
     for k in options:
         if k >= 1:
-            bounds = jenks(values, k)
-            if all(low <= b - a <= 4.5 for a, b in zip(bounds, bounds[1:], strict=False)):
-                return k, bounds, "search"
-    return k0, jenks(values, k0), "single" if k0 == 1 else "failed"
+            found = jenks(values, k)
+            if all(least <= b - a <= 4.5 for a, b in zip(found, found[1:], strict=False)):
+                return k, found, "search"
+    return k0, bounds(k0), "single" if k0 == 1 else "failed"
 
 
 def detected_lanes(samples: DataFrame, defined: DataFrame, config: Matching = Matching()) -> DataFrame:
@@ -96,7 +100,7 @@ def detected_lanes(samples: DataFrame, defined: DataFrame, config: Matching = Ma
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         first = pdf.iloc[0]
         manual = None if pd.isna(first["manual"]) else int(first["manual"])
-        lanes, bounds, how = lane_search(pdf["D"].to_numpy(), int(first["lanes"]), manual, bool(first["is_link"]), config)
+        lanes, bounds, how = lane_search(pdf["D"].to_numpy(), None if pd.isna(first["lanes"]) else int(first["lanes"]), manual, bool(first["is_link"]), config)
         return pd.DataFrame({"segment_id": [first["segment_id"]], "lanes": [lanes], "bounds": [bounds], "how": [how]})
 
     facts = defined.select("segment_id", "lanes", "manual", "is_link")
@@ -286,19 +290,47 @@ def merge_pairs(edges: DataFrame, piece: str) -> DataFrame:
     return edges.select(piece, "segment_id", "u", "v", "is_junction", "is_shape").groupBy(piece).applyInPandas(run, "a string, b string")
 
 
-def split_at_signals(edges: DataFrame, offset: float = 3.5) -> DataFrame:
-    """(segment_id, parent, u, v, from_m, to_m): segments with a signal in their middle part
-    are cut behind its stop line; both halves share a new node.
+# --- closed shapes --------------------------------------------------------------------
 
-    edges: segment_id, u, v, length, positions (array<double>, ascending).
-    """
-    mid = F.filter("positions", lambda p: (p >= 0.2 * F.col("length")) & (p <= 0.8 * F.col("length")))
-    at = F.when((F.col("length") > 50) & (F.size(mid) > 0), F.greatest(F.lit(0.0), F.try_element_at(mid, F.lit(1)) - offset))
-    out = edges.withColumn("at", at)
-    node = F.concat(F.lit("n_"), "segment_id")
-    whole = F.array(F.struct(F.col("segment_id").alias("id"), F.col("u").cast("string").alias("a"), F.col("v").cast("string").alias("b"), F.lit(0.0).alias("from_m"), F.col("length").alias("to_m")))
-    halves = F.array(
-        F.struct(F.concat("segment_id", F.lit("_a")).alias("id"), F.col("u").cast("string").alias("a"), node.alias("b"), F.lit(0.0).alias("from_m"), F.col("at").alias("to_m")),
-        F.struct(F.concat("segment_id", F.lit("_b")).alias("id"), node.alias("a"), F.col("v").cast("string").alias("b"), F.col("at").alias("from_m"), F.col("length").alias("to_m")),
-    )
-    return out.select(F.col("segment_id").alias("parent"), F.explode(F.when(F.col("at").isNull(), whole).otherwise(halves)).alias("x")).select(F.col("x.id").alias("segment_id"), "parent", F.col("x.a").alias("u"), F.col("x.b").alias("v"), "x.from_m", "x.to_m")
+
+def bridges(links: set[tuple]) -> set[tuple]:
+    """The links (a < b) of a simple graph that lie on no cycle. Iterative depth-first search."""
+    near: dict = {}
+    for a, b in links:
+        near.setdefault(a, []).append(b)
+        near.setdefault(b, []).append(a)
+    seen, low, out = {}, {}, set()
+    for root in sorted(near):
+        if root in seen:
+            continue
+        seen[root] = low[root] = len(seen)
+        stack = [(root, None, iter(near[root]))]
+        while stack:
+            node, parent, rest = stack[-1]
+            for other in rest:
+                if other == parent:
+                    continue
+                if other in seen:
+                    low[node] = min(low[node], seen[other])
+                else:
+                    seen[other] = low[other] = len(seen)
+                    stack.append((other, node, iter(near[other])))
+                    break
+            else:
+                stack.pop()
+                if parent is not None:
+                    low[parent] = min(low[parent], low[node])
+                    if low[node] > seen[parent]:
+                        out.add((min(node, parent), max(node, parent)))
+    return out
+
+
+def closed_shapes(edges: DataFrame, piece: str) -> DataFrame:
+    """(segment_id, is_closed): whether a segment lies on a closed way that doesn't go back
+    between the same two nodes. One task for each connected piece (of junction segments)."""
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pairs = [(min(a, b), max(a, b)) for a, b in zip(pdf["u"].tolist(), pdf["v"].tolist(), strict=True)]
+        open_links = bridges({p for p in pairs if p[0] != p[1]})
+        return pd.DataFrame({"segment_id": pdf["segment_id"], "is_closed": [p not in open_links for p in pairs]})
+
+    return edges.select(piece, "segment_id", "u", "v").groupBy(piece).applyInPandas(run, "segment_id string, is_closed boolean")

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import graph as G
 from ..operators import network as N
+from ..operators import signals as S
 from ..operators import spatial as P
 from ..operators import stats
 from ..operators import udf as U
@@ -73,16 +74,22 @@ def merge_junction_pairs(spark, d):
     return U.merge_pairs(_pieces(spark, d).withColumn("is_shape", F.floor(F.col("u") / 10) % 2 == 0), "root")
 
 
-@query("""
-    WITH p AS (SELECT *, CASE WHEN (u + v) % 3 = 0 THEN length * 0.5 WHEN (u + v) % 3 = 1 THEN length * 0.95 END AS pos FROM edges), c AS (SELECT *, CASE WHEN length > 50 AND pos BETWEEN 0.2 * length AND 0.8 * length THEN greatest(0, pos - 3.5) END AS cut_m FROM p)
-    SELECT segment_id, segment_id AS parent, u::VARCHAR AS u, v::VARCHAR AS v, 0.0 AS from_m, round(length, 4) AS to_m FROM c WHERE cut_m IS NULL
-    UNION ALL SELECT concat(segment_id, '_a'), segment_id, u::VARCHAR, concat('n_', segment_id), 0.0, round(cut_m, 4) FROM c WHERE cut_m IS NOT NULL
-    UNION ALL SELECT concat(segment_id, '_b'), segment_id, concat('n_', segment_id), v::VARCHAR, round(cut_m, 4), round(length, 4) FROM c WHERE cut_m IS NOT NULL
+_SIGNALS = "CASE (u + v * 3) % 7 WHEN 0 THEN {a}50.0{z} WHEN 1 THEN {a}8.0{z} WHEN 2 THEN {a}10.0, 60.0{z} WHEN 3 THEN {a}30.0, 32.0{z} WHEN 4 THEN {a}96.0{z} WHEN 5 THEN {a}97.0, 99.5{z} END"
+
+
+@query(f"""
+    WITH p AS (SELECT segment_id, u, v, length, CASE WHEN kind = 'd' AND u % 2 = 0 THEN 45.0 ELSE length END::DOUBLE AS len, lower(highway) LIKE '%\\_link' ESCAPE '\\' AS is_link, (u + v) % 4 <> 0 AS oneway, coalesce({_SIGNALS.format(a="[", z="]")}, []) AS ps FROM edges),
+    q AS (SELECT *, ps[1] + 3.5 AS cut_m, len(ps) AS n FROM p),
+    c AS (SELECT *, oneway AND NOT (is_link AND len <= 50) AND CASE WHEN n >= 2 THEN cut_m < len - 2 AND cut_m < ps[2] WHEN n = 1 THEN cut_m < len - 18 AND (ps[1] <= 15 OR len > 50 AND ps[1] BETWEEN 0.2 * len AND 0.8 * len) ELSE false END AS cuts FROM q)
+    SELECT segment_id AS parent, segment_id, u::VARCHAR AS u, v::VARCHAR AS v, 0.0 AS from_m, round(len, 4) AS to_m, array_to_string(ps, ',') AS positions, len(list_filter(ps, lambda x: x >= len - 1)) > 0 AS signal_at_end FROM c WHERE NOT cuts
+    UNION ALL SELECT segment_id, concat(segment_id, '_a'), u::VARCHAR, concat('n_', segment_id), 0.0, round(cut_m, 4), ps[1]::VARCHAR, true FROM c WHERE cuts
+    UNION ALL SELECT segment_id, concat(segment_id, '_b'), concat('n_', segment_id), v::VARCHAR, round(cut_m, 4), round(len, 4), array_to_string([x - cut_m FOR x IN ps[2:]], ','), len(list_filter(ps[2:], lambda x: x >= len - 1)) > 0 FROM c WHERE cuts
 """)
 def split_at_signals(spark, d):
-    pos = F.when(F.expr("(u + v) % 3 = 0"), F.array(F.col("length") * 0.5)).when(F.expr("(u + v) % 3 = 1"), F.array(F.col("length") * 0.95)).otherwise(F.array().cast("array<double>"))
-    out = U.split_at_signals(V.edges(spark, d).withColumn("positions", pos))
-    return out.select("segment_id", "parent", "u", "v", F.round("from_m", 4).alias("from_m"), F.round("to_m", 4).alias("to_m"))
+    e = G.headed(V.edges(spark, d)).withColumn("length", F.when(F.expr("kind = 'd' and u % 2 = 0"), 45.0).otherwise(F.col("length")))
+    e = e.withColumns({"oneway": F.expr("(u + v) % 4 <> 0"), "positions": F.coalesce(F.expr(_SIGNALS.format(a="array(", z=")")), F.array()).cast("array<double>")})
+    out = S.split_at_signals(e)
+    return out.select("parent", "segment_id", "u", "v", F.round("from_m", 4).alias("from_m"), F.round("to_m", 4).alias("to_m"), F.array_join(F.transform("positions", lambda p: p.cast("string")), ",").alias("positions"), "signal_at_end")
 
 
 @query()

@@ -12,6 +12,8 @@ from .base import book
 
 QUERIES, SQL, query = book()
 
+DEPTH = Graph().depth
+
 
 def _edges(spark, d):
     return G.headed(V.edges(spark, d))
@@ -135,10 +137,17 @@ def relation_priority_dedupe(spark, d):
     return G.dedupe_relations(_ranked(spark, d), ["to", "merges_into", "turns_into", "u_turns_into"])
 
 
-@query(f"WITH {_RANKED}, q AS (SELECT DISTINCT src, dst FROM r) SELECT src, dst FROM q ANTI JOIN (SELECT a.src, b.dst FROM q a JOIN q b ON a.dst = b.src JOIN h ON h.segment_id = a.dst AND h.is_link) USING (src, dst)")
+@query(f"""
+    WITH {_RANKED}, q AS (SELECT src, dst FROM r UNION SELECT a.src, b.dst FROM t a JOIN t b ON a.dst = b.src WHERE a.su <> a.dv AND b.su <> b.dv AND (a.dst_link OR a.src::BIGINT % 6 = 0))
+    SELECT src, dst FROM q ANTI JOIN (SELECT a.src, b.dst FROM q a JOIN q b ON a.dst = b.src JOIN h ON h.segment_id = a.dst AND h.is_link) USING (src, dst)
+""")
 def bypass_removal(spark, d):
-    rel = _ranked(spark, d).select("src", "dst").distinct()
-    return G.without_bypasses(rel, _edges(spark, d).where("is_link"))
+    """Direct relations, and some over two hops; those that a link also leads to go."""
+    e = _edges(spark, d)
+    t = G.turns(e)
+    two = t.select("src", F.col("dst").alias("mid"), "dst_link").join(t.select(F.col("src").alias("mid"), "dst"), "mid").where("dst_link or cast(src as bigint) % 6 = 0")
+    rel = _ranked(spark, d).select("src", "dst").union(two.select("src", "dst")).distinct()
+    return G.without_bypasses(rel, e.where("is_link"))
 
 
 @query(f"""
@@ -151,29 +160,28 @@ def same_name_turn_drop(spark, d):
 
 
 _PATHS = f"""{_T}, c AS (SELECT t.src, [t.dst] AS path, t.dst AS here, 1 AS n, false AS done FROM t JOIN h ON h.segment_id = t.src AND NOT h.is_junction WHERE su <> dv AND inner_dst
-    UNION ALL SELECT c.src, CASE WHEN t.inner_dst THEN list_append(path, t.dst) ELSE path END, t.dst, c.n + t.inner_dst::INT, NOT t.inner_dst FROM c JOIN t ON t.src = c.here AND t.su <> t.dv WHERE NOT done AND t.dst <> c.src AND NOT list_contains(path, t.dst) AND c.n + t.inner_dst::INT <= 4)"""
+    UNION ALL SELECT c.src, CASE WHEN t.inner_dst THEN list_append(path, t.dst) ELSE path END, t.dst, c.n + t.inner_dst::INT, NOT t.inner_dst FROM c JOIN t ON t.src = c.here AND t.su <> t.dv WHERE NOT done AND t.dst <> c.src AND NOT list_contains(path, t.dst) AND c.n + t.inner_dst::INT <= {DEPTH})"""
 
 
 @query(f"WITH RECURSIVE {_PATHS} SELECT src, array_to_string(path, '>') AS path, here AS dst, n::BIGINT AS n FROM c WHERE done")
 def junction_chain_paths(spark, d):
-    return G.junction_paths(_edges(spark, d), 4).select("src", F.array_join("path", ">").alias("path"), "dst", F.col("n").cast("bigint").alias("n"))
+    return G.junction_paths(_edges(spark, d), DEPTH).select("src", F.array_join("path", ">").alias("path"), "dst", F.col("n").cast("bigint").alias("n"))
 
 
 @query(f"""
-    WITH RECURSIVE {_PATHS}, w AS (SELECT c.src, c.here AS dst, c.n, a.u AS su, b.v AS dv, {_DELTA.format(a="a.hd", b="b.hd")} AS delta FROM c JOIN h a ON a.segment_id = c.src JOIN h b ON b.segment_id = c.here WHERE done AND NOT list_contains(path, '{{x}}')),
-    k AS (SELECT src, dst, min(n) AS n, CASE WHEN su = dv OR abs(delta) >= 170 THEN 'u_turns_into' WHEN abs(delta) > 25 THEN 'turns_into' ELSE 'to' END AS relation FROM w GROUP BY src, dst, su, dv, delta)
-    SELECT src, relation, dst, n::BIGINT AS n FROM k
-""".replace("{x}", "no"))
+    WITH RECURSIVE {_PATHS}, k AS (SELECT c.src, c.here AS dst, min(c.n) AS n FROM c WHERE done GROUP BY 1, 2), w AS (SELECT k.*, a.u AS su, b.v AS dv, {_DELTA.format(a="a.hd", b="b.hd")} AS delta FROM k JOIN h a ON a.segment_id = k.src JOIN h b ON b.segment_id = k.dst)
+    SELECT src, CASE WHEN su = dv OR abs(delta) >= 170 THEN 'u_turns_into' WHEN abs(delta) > 25 THEN 'turns_into' ELSE 'to' END AS relation, dst, n::BIGINT AS n FROM w
+""")
 def junction_bypass(spark, d):
-    return G.bypassed(_edges(spark, d), 4).select("src", "relation", "dst", F.col("n").cast("bigint").alias("n"))
+    return G.bypassed(_edges(spark, d), DEPTH).select("src", "relation", "dst", F.col("n").cast("bigint").alias("n"))
 
 
 @query(f"""
-    WITH RECURSIVE {_PATHS}, w AS (SELECT src, here AS dst, path FROM c WHERE done), bad AS (SELECT src, dst, path[1] AS via FROM w WHERE len(path) >= 2 AND src::BIGINT % 3 = 0)
+    WITH RECURSIVE {_PATHS}, w AS (SELECT src, here AS dst, path FROM c WHERE done), bad AS (SELECT DISTINCT src, dst, path[1] AS via FROM w WHERE len(path) >= 2 AND src::BIGINT % 3 = 0)
     SELECT src, array_to_string(path, '>') AS path, dst FROM w WHERE NOT EXISTS (SELECT 1 FROM bad WHERE bad.src = w.src AND bad.dst = w.dst AND list_contains(w.path, bad.via))
 """)
 def restricted_paths(spark, d):
-    return _allowed(G.junction_paths(_edges(spark, d), 4))
+    return _allowed(G.junction_paths(_edges(spark, d), DEPTH))
 
 
 def _allowed(p):
@@ -181,35 +189,6 @@ def _allowed(p):
     return p.join(r, (p.src == r.rs) & (p.dst == r.rd) & G.subsequence(r.via, p.path), "left_anti").select("src", F.array_join("path", ">").alias("path"), "dst")
 
 
-#: The queries above stop at 4 junction segments, as their SQL does; those below go as deep as config.
-DEPTH = Graph().depth
-
-
-def deep(text: str) -> str:
-    return text.replace("c.n + t.inner_dst::INT <= 4", f"c.n + t.inner_dst::INT <= {DEPTH}")
-
-
-@query(deep(f"WITH RECURSIVE {_PATHS} SELECT src, array_to_string(path, '>') AS path, here AS dst, n::BIGINT AS n FROM c WHERE done"))
-def junction_chain_paths_deep(spark, d):
-    return G.junction_paths(_edges(spark, d), DEPTH).select("src", F.array_join("path", ">").alias("path"), "dst", F.col("n").cast("bigint").alias("n"))
-
-
-@query(deep(f"""
-    WITH RECURSIVE {_PATHS}, k AS (SELECT c.src, c.here AS dst, min(c.n) AS n FROM c WHERE done GROUP BY 1, 2), w AS (SELECT k.*, a.u AS su, b.v AS dv, {_DELTA.format(a="a.hd", b="b.hd")} AS delta FROM k JOIN h a ON a.segment_id = k.src JOIN h b ON b.segment_id = k.dst)
-    SELECT src, CASE WHEN su = dv OR abs(delta) >= 170 THEN 'u_turns_into' WHEN abs(delta) > 25 THEN 'turns_into' ELSE 'to' END AS relation, dst, n::BIGINT AS n FROM w
-"""))
-def junction_bypass_deep(spark, d):
-    return G.bypassed(_edges(spark, d), DEPTH).select("src", "relation", "dst", F.col("n").cast("bigint").alias("n"))
-
-
-@query(deep(f"""
-    WITH RECURSIVE {_PATHS}, w AS (SELECT src, here AS dst, path FROM c WHERE done), bad AS (SELECT DISTINCT src, dst, path[1] AS via FROM w WHERE len(path) >= 2 AND src::BIGINT % 3 = 0)
-    SELECT src, array_to_string(path, '>') AS path, dst FROM w WHERE NOT EXISTS (SELECT 1 FROM bad WHERE bad.src = w.src AND bad.dst = w.dst AND list_contains(w.path, bad.via))
-"""))
-def restricted_paths_deep(spark, d):
-    return _allowed(G.junction_paths(_edges(spark, d), DEPTH))
-
-
 @query("""
     WITH d AS (SELECT node, count(DISTINCT segment_id) AS deg FROM (SELECT u AS node, segment_id FROM edges UNION ALL SELECT v, segment_id FROM edges) GROUP BY 1)
     SELECT segment_id, length <= 120 AND a.deg >= 7 AND b.deg >= 7 AS is_shape_junction, lower(highway) = 'primary_link' AS is_semantic_junction, (length <= 120 AND a.deg >= 7 AND b.deg >= 7) OR lower(highway) = 'primary_link' AS is_internal_junction

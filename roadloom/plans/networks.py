@@ -15,9 +15,7 @@ QUERIES, SQL, query = book()
 
 @query("SELECT segment_id, min(rec) AS rec, arg_min(u, rec) AS u, arg_min(v, rec) AS v FROM networks GROUP BY 1")
 def union_dedupe_first(spark, d):
-    n = V.networks(spark, d)
-    frames = [n.where(F.col("rec") == r) for r in range(10)]
-    return N.union_first(frames, ["segment_id"], ["u", "v"]).select("segment_id", F.col("rec").cast("bigint").alias("rec"), "u", "v")
+    return N.first_of(V.networks(spark, d), ["segment_id"], ["rec", "u", "v"]).select("segment_id", F.col("rec").cast("bigint").alias("rec"), "u", "v")
 
 
 @query("SELECT segment_id FROM networks GROUP BY 1 HAVING count(DISTINCT rec) = 10")
@@ -132,7 +130,7 @@ def component_rescue(spark, d):
 
 
 def _fixpoint_sql() -> str:
-    steps = ["v0 AS (SELECT segment_id FROM edges WHERE (u * 3 + v) % 4 <> 0)", "rel AS (SELECT a.segment_id AS src, b.segment_id AS dst FROM edges a JOIN edges b ON a.v = b.u AND a.u <> b.v)"]
+    steps = ["v0 AS (SELECT segment_id FROM edges WHERE (u * 7 + v * 5) % 9 < 2)", "rel AS (SELECT a.segment_id AS src, b.segment_id AS dst FROM edges a JOIN edges b ON a.v = b.u AND a.u <> b.v)"]
     for i in range(12):
         steps.append(f"v{i + 1} AS MATERIALIZED (SELECT segment_id FROM v{i} WHERE segment_id IN (SELECT unnest([src, dst]) FROM rel WHERE src IN (SELECT segment_id FROM v{i}) AND dst IN (SELECT segment_id FROM v{i}) AND src <> dst))")
     return "WITH " + ", ".join(steps) + " SELECT segment_id FROM v12"
@@ -142,7 +140,7 @@ def _fixpoint_sql() -> str:
 def fixpoint_isolated_removal(spark, d):
     e = V.edges(spark, d)
     rel = e.select(F.col("segment_id").alias("src"), "u", F.col("v").alias("n")).join(e.select(F.col("segment_id").alias("dst"), F.col("u").alias("n"), F.col("v").alias("w")), "n").where("u <> w")
-    return N.prune_unconnected(e.where("(u * 3 + v) % 4 <> 0"), rel.select("src", "dst"))
+    return N.prune_unconnected(e.where("(u * 7 + v * 5) % 9 < 2"), rel.select("src", "dst"))
 
 
 def _spread_sql(rounds: int) -> str:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from importlib import import_module
 
 #: Modules that hold QUERIES and SQL.
-MODULES: list[str] = ["series", "networks", "graphs", "spatial", "algorithms", "signals", "sources"]
+MODULES: list[str] = ["series", "networks", "graphs", "spatial", "algorithms", "signals", "sources", "traversal", "rules"]
 
 QUERIES, SQL = {}, {}
 for _name in MODULES:

@@ -300,45 +300,26 @@ def deterministic_sample(spark, d):
     return stats.sample_ids(ids, "track_id", F.pmod(F.col("track_id").cast("bigint") * 2654435761, F.lit(4294967296)), 0.15)
 
 
-@query("""
-    WITH q AS (SELECT segment_id, min(speed) AS lo, max(speed) AS hi FROM traj GROUP BY 1),
-    b AS (SELECT t.*, least(39, floor((speed - lo) / (hi - lo) * 40))::BIGINT AS bin FROM traj t JOIN q USING (segment_id)),
-    c AS (SELECT segment_id, bin, count(*) AS n FROM b GROUP BY 1, 2), s AS (SELECT segment_id, sum(n) AS total, sum(n * n) AS weight FROM c GROUP BY 1)
-    SELECT segment_id, bin, n, least(n, floor(500.0 * n * n / weight))::BIGINT AS quota FROM c JOIN s USING (segment_id)
-""")
-def density_histogram_quota(spark, d):
-    return stats.squared_quota(V.traj(spark, d), "segment_id", "speed", 40, 500)
+SAMPLE = 1_500  # rows a segment; the views' segments are smaller than real ones
 
-
-@query("""
-    WITH q AS (SELECT segment_id, min(speed) AS lo, max(speed) AS hi FROM traj GROUP BY 1),
-    b AS (SELECT t.*, least(39, floor((speed - lo) / (hi - lo) * 40))::BIGINT AS bin FROM traj t JOIN q USING (segment_id)),
-    c AS (SELECT segment_id, bin, count(*) AS n FROM b GROUP BY 1, 2), s AS (SELECT segment_id, sum(n * n) AS weight FROM c GROUP BY 1),
-    r AS (SELECT b.*, n, weight, row_number() OVER (PARTITION BY segment_id, bin ORDER BY (row_id * 2654435761) % 4294967296, row_id) AS nth FROM b JOIN c USING (segment_id, bin) JOIN s USING (segment_id))
-    SELECT segment_id, row_id FROM r WHERE nth <= least(n, floor(500.0 * n * n / weight))
-""")
-def density_sample(spark, d):
-    return stats.density_sample(V.traj(spark, d), "segment_id", "speed", "row_id", F.pmod(F.col("row_id") * 2654435761, F.lit(4294967296)), 40, 500, stats.squared_quota).select("segment_id", "row_id")
-
-
-_BINS = """q AS (SELECT segment_id, min(speed) AS lo, max(speed) AS hi FROM traj GROUP BY 1),
+_BINS = f"""q AS (SELECT segment_id, min(speed) AS lo, max(speed) AS hi FROM traj GROUP BY 1),
     b AS (SELECT t.*, least(39, floor((speed - lo) / (hi - lo) * 40))::BIGINT AS bin FROM traj t JOIN q USING (segment_id)),
     c AS (SELECT segment_id, bin, count(*) AS n FROM b GROUP BY 1, 2), s AS (SELECT segment_id, sum(n)::BIGINT AS total FROM c GROUP BY 1),
-    k AS (SELECT segment_id, bin, n, (CASE WHEN total <= 15000 THEN n ELSE least(n, round_even(n::DOUBLE / total * 15000, 0)) END)::BIGINT AS quota FROM c JOIN s USING (segment_id))"""
+    k AS (SELECT segment_id, bin, n, (CASE WHEN total <= {SAMPLE} THEN n ELSE least(n, round_even(n::DOUBLE / total * {SAMPLE}, 0)) END)::BIGINT AS quota FROM c JOIN s USING (segment_id))"""
 
 
 @query(f"WITH {_BINS} SELECT segment_id, bin, n, quota FROM k")
-def density_quota_whole(spark, d):
-    return stats.density_quota(V.traj(spark, d), "segment_id", "speed", Matching().bins, Matching().samples)
+def density_histogram_quota(spark, d):
+    return stats.density_quota(V.traj(spark, d), "segment_id", "speed", Matching().bins, SAMPLE)
 
 
 @query(f"""
     WITH {_BINS}, r AS (SELECT b.*, quota, row_number() OVER (PARTITION BY segment_id, bin ORDER BY (row_id * 2654435761) % 4294967296, row_id) AS nth FROM b JOIN k USING (segment_id, bin))
     SELECT segment_id, row_id FROM r WHERE nth <= quota
 """)
-def density_sample_whole(spark, d):
+def density_sample(spark, d):
     by = F.pmod(F.col("row_id") * 2654435761, F.lit(4294967296))
-    return stats.density_sample(V.traj(spark, d), "segment_id", "speed", "row_id", by, Matching().bins, Matching().samples).select("segment_id", "row_id")
+    return stats.density_sample(V.traj(spark, d), "segment_id", "speed", "row_id", by, Matching().bins, SAMPLE).select("segment_id", "row_id")
 
 
 _VALID = f"""

@@ -49,18 +49,19 @@ def traversals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(_TRAVERSALS.format(text="STRING", orders="{orders}"), orders=orders)
 
 
-#: A street grid over the suppliers, ten to a row, with one-way streets and diagonal links.
+#: A street grid over the suppliers, ten to a row, with one-way streets, diagonal links and dead ends.
 _EDGES = """
-    SELECT CAST(u * 100000 + v AS {text}) AS segment_id, u, v, kind, CASE kind WHEN 'h' THEN concat('Row ', CAST(floor(u / 10) AS {int})) WHEN 'v' THEN concat('Col ', u % 10) ELSE concat('Link ', u % 7) END AS name,
+    SELECT CAST(u * 100000 + v AS {text}) AS segment_id, u, v, kind, CASE kind WHEN 'h' THEN concat('Row ', CAST(floor(u / 10) AS {int})) WHEN 'v' THEN concat('Col ', CAST(floor(u % 10 / 2) AS {int})) ELSE concat('Link ', u % 7) END AS name,
            CASE WHEN kind = 'd' THEN 'primary_link' WHEN kind = 'h' AND floor(u / 10) % 3 = 0 THEN 'primary' WHEN kind = 'v' AND u % 4 = 0 THEN 'secondary' ELSE 'residential' END AS highway,
-           CAST(1 + (u + v) % 4 AS {int}) AS lanes, CAST(u % 10 * 100 AS DOUBLE) AS x1, CAST(floor(u / 10) * 100 AS DOUBLE) AS y1, CAST(v % 10 * 100 AS DOUBLE) AS x2, CAST(floor(v / 10) * 100 AS DOUBLE) AS y2,
-           CASE kind WHEN 'd' THEN sqrt(20000.0) ELSE 100.0 END AS length, (u * 7 + v * 4) % 5 = 0 AS is_junction
+           CAST(1 + (u + v) % 4 AS {int}) AS lanes, CAST(u % 10 * 100 AS DOUBLE) AS x1, CAST(floor(u / 10) * 100 AS DOUBLE) AS y1, CASE kind WHEN 's' THEN CAST(u % 10 * 100 + 30 AS DOUBLE) ELSE CAST(v % 10 * 100 AS DOUBLE) END AS x2, CASE kind WHEN 's' THEN CAST(floor(u / 10) * 100 + 40 AS DOUBLE) ELSE CAST(floor(v / 10) * 100 AS DOUBLE) END AS y2,
+           CASE kind WHEN 'd' THEN sqrt(20000.0) WHEN 's' THEN 50.0 ELSE 100.0 END AS length, (u * 7 + v * 4) % 5 = 0 AS is_junction
     FROM (
         SELECT n AS u, n + 1 AS v, 'h' AS kind FROM {n} WHERE n % 10 < 9 AND n + 1 < total
         UNION ALL SELECT n + 1, n, 'h' FROM {n} WHERE n % 10 < 9 AND n + 1 < total AND floor(n / 10) % 4 <> 1
         UNION ALL SELECT n, n + 10, 'v' FROM {n} WHERE n + 10 < total
         UNION ALL SELECT n + 10, n, 'v' FROM {n} WHERE n + 10 < total AND n % 5 <> 2
-        UNION ALL SELECT n, n + 11, 'd' FROM {n} WHERE n % 10 < 9 AND n + 11 < total AND n * 3 % 7 = 0) e
+        UNION ALL SELECT n, n + 11, 'd' FROM {n} WHERE n % 10 < 9 AND n + 11 < total AND n * 3 % 7 = 0
+        UNION ALL SELECT n, total + n, 's' FROM {n} WHERE n % 17 = 3) e
 """
 EDGES_SQL = _EDGES.format(text="VARCHAR", int="BIGINT", n="(SELECT s_suppkey AS n, count(*) OVER () AS total FROM supplier)")
 

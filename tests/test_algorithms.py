@@ -35,8 +35,10 @@ def test_jenks_is_optimal():
 
 def test_lane_search():
     d = np.linspace(0, 9.6, 300)
-    lanes, bounds, how = udf.lane_search(d, 2, None, False)
-    assert (lanes, len(bounds), how) == (3, 4, "search")  # two lanes would be wider than 4.5 m
+    lanes, bounds, how = udf.lane_search(d, 7, None, False)
+    assert (lanes, len(bounds), how) == (3, 4, "search")  # 9.6 m are three lanes, whatever the tag says
+    clear = np.concatenate([np.full(40, c) + np.linspace(-0.4, 0.4, 40) for c in (1.6, 4.8, 8.0, 11.2)])
+    assert udf.lane_search(clear, 1, None, False)[0] in (3, 4) and udf.lane_search(clear, 1, None, True)[1] == pytest.approx([1.2, 11.6])
     assert udf.lane_search(d[:10], 2, None, False) == (2, [0.0, 3.2, 6.4], "grid")
     assert udf.lane_search(d, 2, 3, False)[2] == "manual" and udf.lane_search(d, 1, None, True)[2] == "link"
 

@@ -38,19 +38,19 @@ def test_junction_queries_go_to_the_configured_depth(spark):
     edges = V.edges(spark, SF).collect()
     want = brute_paths(edges, Graph().depth)
     assert max(len(p) for _, p, _ in want) > 4
-    got = [(x.src, tuple(x.path.split(">")), x.dst) for x in registry.QUERIES["junction_chain_paths_deep"](spark, SF).collect()]
+    got = [(x.src, tuple(x.path.split(">")), x.dst) for x in registry.QUERIES["junction_chain_paths"](spark, SF).collect()]
     assert sorted(got) == sorted(want)
-    ends = {(x.src, x.dst): x.n for x in registry.QUERIES["junction_bypass_deep"](spark, SF).collect()}
+    ends = {(x.src, x.dst): x.n for x in registry.QUERIES["junction_bypass"](spark, SF).collect()}
     least = {}
     for s, p, e in want:
         least[s, e] = min(len(p), least.get((s, e), 99))
     assert ends == least
     bad = {(s, e, p[0]) for s, p, e in want if len(p) >= 2 and int(s) % 3 == 0}
     left = [(s, p, e) for s, p, e in want if not any((s, e, x) in bad for x in p)]
-    got = [(x.src, tuple(x.path.split(">")), x.dst) for x in registry.QUERIES["restricted_paths_deep"](spark, SF).collect()]
+    got = [(x.src, tuple(x.path.split(">")), x.dst) for x in registry.QUERIES["restricted_paths"](spark, SF).collect()]
     assert sorted(got) == sorted(left)
     node = {e.segment_id: e.v for e in edges}
     foot = {(e.segment_id, e.v) for e in edges if not e.is_junction} | {(s, node[x]) for s, p, _ in want for x in p}
-    assert {(x.segment_id, x.node) for x in registry.QUERIES["junction_footprints_deep"](spark, SF).collect()} == foot
+    assert {(x.segment_id, x.node) for x in registry.QUERIES["junction_footprints"](spark, SF).collect()} == foot
 
 

@@ -2,7 +2,7 @@ import math
 
 import numpy as np
 
-from roadloom.operators import udf
+from roadloom.operators import signals, udf
 from roadloom.streaming import states
 
 EDGE = "root long, segment_id string, u long, v long, length double, is_junction boolean, is_shape boolean, h_in double, h_out double"
@@ -28,11 +28,16 @@ def test_junction_pairs_need_one_shape_and_come_once(spark):
     assert [tuple(r) for r in udf.merge_pairs(spark.createDataFrame(rows, EDGE), "root").collect()] == [("p", "q")]
 
 
-def test_split_at_a_signal(spark):
-    rows = [("e", 1, 2, 100.0, [50.0]), ("f", 2, 3, 100.0, [97.0]), ("g", 3, 4, 40.0, [20.0]), ("h", 4, 5, 80.0, [])]
-    out = udf.split_at_signals(spark.createDataFrame(rows, "segment_id string, u long, v long, length double, positions array<double>")).collect()
-    got = {r.segment_id: (r.u, r.v, r.from_m, r.to_m) for r in out}
-    assert got == {"e_a": ("1", "n_e", 0.0, 46.5), "e_b": ("n_e", "2", 46.5, 100.0), "f": ("2", "3", 0.0, 100.0), "g": ("3", "4", 0.0, 40.0), "h": ("4", "5", 0.0, 80.0)}
+def test_split_at_signals(spark):
+    rows = [
+        ("middle", 1, 2, 100.0, True, False, [50.0]), ("end", 2, 3, 100.0, True, False, [97.0]), ("short", 3, 4, 40.0, True, False, [20.0]), ("none", 4, 5, 80.0, True, False, []), ("start", 5, 6, 60.0, True, False, [9.0]),
+        ("two", 6, 7, 30.0, True, False, [10.0, 20.0]), ("close", 7, 8, 90.0, True, False, [10.0, 12.0]), ("both_ways", 8, 9, 100.0, False, False, [50.0]), ("link", 9, 10, 45.0, True, True, [5.0]), ("rest", 10, 11, 25.0, True, False, [5.0]),
+    ]
+    out = signals.split_at_signals(spark.createDataFrame(rows, "segment_id string, u long, v long, length double, oneway boolean, is_link boolean, positions array<double>")).collect()
+    got = {r.segment_id: (r.u, r.v, r.from_m, r.to_m, r.positions, r.signal_at_end) for r in out}
+    assert got.keys() == {"middle_a", "middle_b", "end", "short", "none", "start_a", "start_b", "two_a", "two_b", "close", "both_ways", "link", "rest"}
+    assert got["middle_a"] == ("1", "n_middle", 0.0, 53.5, [50.0], True) and got["middle_b"] == ("n_middle", "2", 53.5, 100.0, [], False)
+    assert got["two_b"] == ("n_two", "7", 13.5, 30.0, [6.5], False) and got["start_a"][3] == 12.5 and got["end"] == ("2", "3", 0.0, 100.0, [97.0], False)
 
 
 def test_stream_equals_a_loop(spark, tmp_path):
