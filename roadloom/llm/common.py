@@ -8,7 +8,7 @@ import uuid
 from contextlib import contextmanager
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 #: ASCII white space: what separates words in every operator here.
@@ -63,7 +63,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share, from spark.checkpoint.dir.
 
-    Only where nothing is set, as in tests on one machine, a temporary folder is used.
+    Where nothing is set, a temporary folder serves a session on one machine, as in tests; on
+    a cluster it could not, so that is an error.
     """
     sc = spark.sparkContext
     told = spark.conf.get("spark.checkpoint.dir", None)
@@ -72,6 +73,8 @@ def shared_dir(spark: SparkSession) -> str:
             sc.setCheckpointDir(told)
         return told
     if sc._jsc.sc().getCheckpointDir().isEmpty():
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="ckpt-"))
     return sc._jsc.sc().getCheckpointDir().get()
 
@@ -118,20 +121,25 @@ def option(spark: SparkSession, name: str, value: str):
 SHARE, LEAST = 512, 500
 
 
-def spread_join(big: DataFrame, small: DataFrame, key: list[str], by: Column, how: str = "inner", counted: str | None = None, like: DataFrame | None = None) -> DataFrame:
-    """big joined with small on key, with hot keys of big dealt over many tasks.
+def hot_keys(df: DataFrame, key: list[str], n: str | None = None) -> list[Row]:
+    """(key, __parts) of the keys that more than 1 / SHARE of df's rows (and more than LEAST
+    rows) have: fewer than SHARE whatever the data. With n, df has one row for each key and n
+    tells how many rows elsewhere have it. df must be cheap to read again (cut, or a scan).
+    """
+    sizes = df.groupBy(*key).agg(F.count(F.lit(1)).alias("__n")) if n is None else df.select(*key, F.col(n).alias("__n"))
+    total, most = sizes.agg(F.sum("__n"), F.max("__n")).first()
+    limit = max(LEAST, int(total or 0) // SHARE)
+    if (most or 0) <= limit:
+        return []
+    return sizes.where(F.col("__n") > limit).select(*key, F.ceil(F.col("__n") / limit).cast("int").alias("__parts")).collect()  # fewer than SHARE rows
+
+
+def spread_join(big: DataFrame, small: DataFrame, key: list[str], by: Column, hot: list[Row], how: str = "inner") -> DataFrame:
+    """big joined with small on key, with the hot keys of big dealt over many tasks.
 
-    A key is hot if more than 1 / SHARE of big's rows (and more than LEAST rows) have it, so
-    there are fewer than SHARE hot keys whatever the data: only these and their counts come to
-    the driver and are broadcast. Rows of a hot key go to parts by ``by``, and small's rows of
-    that key are repeated once for each part. No row is dropped. The keys of ``like`` (big, if
-    not given) are counted, which must be cheap to read again (cut, or a scan); or counted
-    names a column of small that tells how many rows of big have its key.
+    Only the hot keys (see ``hot_keys``) are broadcast. Rows of a hot key go to parts by
+    ``by``, and small's rows of that key are repeated once for each part. No row is dropped.
     """
-    sizes = (big if like is None else like).groupBy(*key).agg(F.count(F.lit(1)).alias("__n")) if counted is None else small.select(*key, F.col(counted).alias("__n"))
-    total = int(sizes.agg(F.sum("__n")).first()[0] or 0)
-    limit = max(LEAST, total // SHARE)
-    hot = [] if total <= limit else sizes.where(F.col("__n") > limit).select(*key, F.ceil(F.col("__n") / limit).cast("int").alias("__parts")).collect()  # fewer than SHARE rows
     if not hot:
         return big.join(small, key, how)
     known = F.broadcast(big.sparkSession.createDataFrame(hot, small.select(*key, F.lit(0).alias("__parts")).schema))

@@ -154,7 +154,8 @@ def build_index(docs: DataFrame, capacity: int | None = None) -> tuple[DataFrame
 def exact_duplicates(docs: DataFrame, capacity: int | None = None) -> DataFrame:
     """One row per document: doc_id, keep_id, group_size, kept, text_sha256."""
     rows, index = build_index(docs, capacity)
-    out = rows.join(index, ["key", "sha"])
+    # a text with very many copies is dealt over many tasks
+    out = C.spread_join(rows, index, ["key", "sha"], F.xxhash64("doc_id"), C.hot_keys(index, ["key", "sha"], "group_size"))
     return out.select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), F.lower(F.hex("sha")).alias("text_sha256"))
 
 

@@ -71,10 +71,10 @@ def repeated_lines(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     seen, place = C.stored(_windows(docs, width))
     key = ["h1", "h2"]
     often = C.cut(seen.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
-    again = C.cut(C.spread_join(seen, often, key, F.xxhash64("text_key", "pos"), counted="n"))
+    again = C.cut(C.spread_join(seen, often, key, F.xxhash64("text_key", "pos"), hot := C.hot_keys(often, key, "n")))
     order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_key", "pos")
-    first = C.cut(again.groupBy(*key).agg(F.min(order).alias("first"), F.first("n").alias("held")))
-    later = C.spread_join(again, first, key, F.xxhash64("text_key", "pos"), counted="held").where(order > F.col("first"))
+    first = C.cut(again.groupBy(*key).agg(F.min(order).alias("first")))
+    later = C.spread_join(again, first, key, F.xxhash64("text_key", "pos"), hot).where(order > F.col("first"))
     places = later.groupBy("doc_id", "text_key").agg(F.collect_set("pos").alias("at"))
     covered = F.array_distinct(F.flatten(F.transform("at", lambda p: F.sequence(p, p + (width - 1)))))
     out = C.cut(places.select("doc_id", "text_key", covered.alias("gone")))

@@ -7,9 +7,9 @@ fractional parts meet, and mass moves from one to the other along size_i dp_i =
 until one of them is 0 or 1. The direction is drawn so that both expectations stay, and the
 words of the pair never change.
 
-Distribution: documents of a source are dealt by size class (powers of two) and into buckets
-by a hash of their key, so that a source with a third of all rows is as many tasks as its
-size needs. Each bucket rounds its documents and leaves at most LEAVE residuals; residuals of
+Distribution: documents of a source are dealt by size class (powers of two), and each class
+into as many buckets as it needs by a hash of their key, so that a source with a third of all
+rows is as many groups as its size needs, all of about the same size. Each bucket rounds its documents and leaves at most LEAVE residuals; residuals of
 a class meet in groups of FAN buckets on each level of a reduction tree until LEAVE per class
 and source are left. Those, at most LEAVE for each power of two, are settled from the largest
 to the smallest document, each taken when that brings the words so far nearer to what they
@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from . import common as C
 
-BUCKET_ROWS = 2_000
+BUCKET_ROWS = 500
 FAN = 1_000
 LEAVE = 4
 #: Scheme of the weights by a source's place, and the mix's size against the input's.
@@ -154,23 +154,25 @@ def plan_mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float =
     items = C.cut(rows.groupBy("doc_id", "source", "size", "key", "key2").agg(F.count(F.lit(1)).alias("n_rows")))
     spark = docs.sparkSession
     # one row per source: the list of sources is the mix's specification, never the data
-    found = items.groupBy("source").agg(F.sum(F.col("size") * F.col("n_rows")).alias("size"), F.count(F.lit(1)).alias("n")).collect()
+    found = items.groupBy("source").agg(F.sum(F.col("size") * F.col("n_rows")).alias("size")).collect()
     found.sort(key=lambda r: (r.source is None, r.source or ""))
     goal = targets([r["size"] for r in found], [weights[i % len(weights)] for i in range(len(found))], share, most)
-    plan = [
-        (i, r.source, r["size"], t, t / r["size"] if r["size"] else 0.0, max(1, -(-r.n // BUCKET_ROWS)))
-        for i, (r, t) in enumerate(zip(found, goal, strict=True))
-    ]
-    known = spark.createDataFrame(plan, f"source_no int, name {dict(items.dtypes)['source']}, source_size bigint, target double, ratio double, buckets bigint")
+    plan = [(i, r.source, r["size"], t, t / r["size"] if r["size"] else 0.0) for i, (r, t) in enumerate(zip(found, goal, strict=True))]
+    known = spark.createDataFrame(plan, f"source_no int, name {dict(items.dtypes)['source']}, source_size bigint, target double, ratio double")
     if len(plan) <= 10_000:
         known = F.broadcast(known)
     items = items.join(known, F.col("source").eqNullSafe(F.col("name"))).drop("name")
     sure = F.floor("ratio").cast("bigint")
     live = items.where("size > 0 and ratio > floor(ratio)").select(
         "source_no", F.floor(F.log2(F.col("size") * F.col("n_rows"))).cast("int").alias("class"), "key", "key2", (F.col("size") * F.col("n_rows")).alias("words"), (F.col("ratio") - F.floor("ratio")).alias("p"),
-        F.pmod(F.xxhash64("key2", "key"), F.col("buckets")).alias("bucket"),
     )
-    extra = rounded(live, max([x[5] for x in plan], default=1)).where("p = 1").select("source_no", "key", "key2", F.lit(1).cast("bigint").alias("extra"))
+    # a row for each source and power of two
+    classes = C.cut(live.groupBy("source_no", "class").agg(F.ceil(F.count(F.lit(1)) / BUCKET_ROWS).alias("buckets")))
+    most = classes.agg(F.max("buckets")).first()[0] or 1
+    if len(plan) <= 500:
+        classes = F.broadcast(classes)
+    live = live.join(classes, ["source_no", "class"]).withColumn("bucket", F.pmod(F.xxhash64("key2", "key"), F.col("buckets"))).select(*[x.split()[0] for x in ITEM.split(", ")])
+    extra = rounded(live, int(most)).where("p = 1").select("source_no", "key", "key2", F.lit(1).cast("bigint").alias("extra"))
     out = items.join(extra, ["source_no", "key", "key2"], "left")
     copies = F.when(F.col("size") > 0, sure + F.coalesce("extra", F.lit(0))).otherwise(F.lit(0)).cast("bigint")
     return out.select("doc_id", "source", "key", "key2", "size", "n_rows", "source_size", "target", copies.alias("copies"))

@@ -117,10 +117,10 @@ def _stats(texts: pd.Series) -> pd.DataFrame:
 def learn(docs: DataFrame, labels: DataFrame, folds: int = 5, fold: int = 0, sample: int = SAMPLE):
     """The model from labelled rows: (weights, threshold, scale)."""
     rows = labelled(docs, labels, "quality", folds, fold, sample)
-    got = rows.select("doc_id", "y", F.pandas_udf(_stats, SCHEMA)(F.col("text").cast("binary")).alias("s")).select("doc_id", "y", "s.*").toPandas()
+    got = rows.select("doc_id", "y", F.pandas_udf(_stats, SCHEMA)(F.col("text").cast("binary")).alias("s")).select("doc_id", "y", "s.*")
+    got = got.orderBy("doc_id", *FIELDS).limit(sample).toPandas()  # rows may repeat an id
     if got.empty:
         return np.zeros(len(NAMES)), 0.0, 1.0
-    got = got.sort_values(["doc_id", *FIELDS]).head(sample)
     return fit(features(got[FIELDS].to_numpy()), got["y"].to_numpy() == 1)
 
 

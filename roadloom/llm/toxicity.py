@@ -155,10 +155,11 @@ def learn(docs: DataFrame, labels: DataFrame, folds: int = 4, fold: int = 2, pri
     chosen = {r["feature"]: i for i, r in enumerate(best.select("feature").collect())}
     if not chosen:
         return {}, np.zeros(0), -30.0
-    found = rows.mapInArrow(_marks(chosen), "y int, at array<int>").toPandas()
+    marks = rows.mapInArrow(_marks(chosen), "y int, at array<int>")
     parts = []
-    for y in (1, 0):
-        own = sorted(map(tuple, found.loc[found["y"] == y, "at"]))  # an order of its own, whatever the tasks' order
+    for y, most in ((1, positives), (0, unlabelled)):
+        # an order of its own, whatever the tasks' order; rows may repeat an id
+        own = [tuple(r["at"]) for r in marks.where(F.col("y") == y).select("at").orderBy("at").limit(most).collect()]
         x = np.zeros((len(own), len(chosen)), np.float32)
         for i, at in enumerate(own):
             x[i, list(at)] = 1

@@ -186,3 +186,32 @@ def test_passages_within_lines_go(spark, words):
     got = {x.doc_id: x.text for x in L.line_report(make(spark, rows)).collect()}
     assert [got[i] for i in (1, 3, 4, 5)] == [rows[0][1], rows[2][1], "Yes. No. Yes.", "Yes. No. Yes."]
     assert got[2] == rows[1][1].replace(passage + " ", "")
+
+
+@pytest.mark.parametrize("strays", [32, 0])
+def test_no_link_is_lost_between_hub_families(spark, words, monkeypatch, strays):
+    """x and y are just linked; many larger families are like x or y, but linked to neither.
+    Without strays, everything goes through new pivots and the index of differences."""
+    monkeypatch.setattr(N, "STRAYS", strays)
+    monkeypatch.setattr(N, "ROUNDS", 2)
+    r = random.Random(77)
+    vocabulary = [f"w{i}" for i in range(20_000)]
+    x = r.sample(vocabulary, 400)
+    y = x[:356] + r.sample(vocabulary[15_000:], 43)
+    texts = [x, y]
+    for _ in range(8):  # hubs at a similarity of about 0.55 to x
+        hub = x[:280] + r.sample(vocabulary, 110)
+        r.shuffle(hub)
+        for _ in range(12):
+            near = list(hub)
+            for _ in range(r.randint(0, 12)):
+                near[r.randrange(len(near))] = r.choice(vocabulary)
+            texts.append(near)
+    for _ in range(25):  # alike by a common half, not linked
+        texts.append(x[:300] + r.sample(vocabulary, 120))
+    rows = [(i, " ".join(t), "a") for i, t in enumerate(texts)]
+    sizes, groups = brute_components([(i, t) for i, t, _ in rows], 1, 80)
+    assert any(set(g) >= {0, 1} for g in groups.values())
+    got = {d.doc_id: d.component_id for d in N.near_duplicates(make(spark, rows), 1, 80).collect()}
+    for members in groups.values():
+        assert {got[i] for i in members} == {min(members)}

@@ -51,6 +51,14 @@ def test_stages_one_by_one(spark, words):
     assert all(list(x.ids) == coder.encode(texts[x.doc_id]) for x in five)
 
 
+def test_stages_take_an_empty_table(spark, empty_docs):
+    docs = empty_docs
+    for name, stage in P.STAGES[:-1]:
+        docs = stage(spark, docs, "")
+        assert docs.columns == empty_docs.columns and docs.count() == 0, name
+    assert P.STAGES[-1][1](spark, docs, "").count() == 0
+
+
 def test_stages_take_odd_rows(spark, clashing):
     docs = clashing
     for name, stage in P.STAGES[:-1]:
