@@ -66,3 +66,82 @@ def test_nnpu_separates_and_stays_bounded():
     hidden = (r.random((200, 20)) < np.r_[np.full(3, 0.7), np.full(17, 0.1)]).astype(float)
     w, b = T.fit_nnpu(p, np.vstack([n, hidden]), 0.1)
     assert ((hidden @ w + b) > -0.85).mean() > 0.9 and ((n @ w + b) > -0.85).mean() < 0.1
+
+
+def test_quality_scores_match_a_plain_version(spark, words):
+    import math
+    import re
+
+    docs, labels = corpus(spark, words, 150)
+    w, cut, scale = Q.learn(docs, labels)
+
+    def plain(text):
+        word, lines = re.findall(r"[^\x20\x09-\x0D]+", text), [x for x in text.split("\n") if x.strip()]
+        chars, n = max(1, sum(map(len, word))), max(1, len(word))
+        windows = [tuple(word[i : i + 5]) for i in range(len(word) - 4)]
+        again = {i + k for i, x in enumerate(windows) if windows.count(x) > 1 for k in range(5)}
+        upper, letters = sum("A" <= c <= "Z" for c in text), sum(c.isascii() and c.isalpha() for c in text)
+        steep = lambda x, s: x / (x + s)
+        length = sum(map(len, word)) / n
+        x = [
+            steep(sum(c in "#*$%&|<>" for c in text) / chars, 0.05), steep(len(again) / n, 0.1), steep((len(lines) - len(set(lines))) / max(1, len(lines)), 0.2), steep(upper / max(1, letters), 0.3),
+            steep(text.count("|") / n, 0.1), steep("".join(word).count("!!") / n, 0.1), steep(sum(a == b for a, b in zip(word, word[1:])) / n, 0.1), min(length, 20) / 20, float(length > 12), math.log1p(len(word)) / 10, math.log1p(len(lines)) / 10, float(len(word) < 10),
+        ]
+        return 1 / (1 + math.exp(-((sum(a * b for a, b in zip(x, w)) - cut) / scale + math.log(0.3 / 0.7))))
+
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    for r in Q.score(docs, (w, cut, scale)).collect():
+        assert abs(r.score - plain(texts[r.doc_id])) < 1e-9
+
+
+def test_ranking_weights_are_the_least_loss():
+    r = np.random.default_rng(3)
+    x, good = r.random((60, 4)), r.random(60) < 0.5
+    x[good, 0] += 0.4
+    w = Q.fit_pairs(x, good)
+
+    def loss(v):
+        margins = [(a - b) @ v for a in x[good] for b in x[~good]]
+        return np.mean(np.logaddexp(0, -np.array(margins))) + 0.5e-4 * v @ v
+
+    for i in range(4):
+        for step in (-0.05, 0.05):
+            moved = w.copy()
+            moved[i] += step
+            assert loss(moved) > loss(w)
+
+
+def test_toxicity_scores_match_a_plain_version(spark, words):
+    docs, labels = corpus(spark, words, 150)
+    chosen, w, b = T.learn(docs, labels)
+    assert chosen
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    for r in T.score(docs, (chosen, w, b)).collect():
+        has = {f for x in texts[r.doc_id].lower().split() for f in T._forms(x.encode())}
+        raw = b + sum(w[i] for f, i in chosen.items() if f in has)
+        assert abs(r.score - 1 / (1 + np.exp(-raw))) < 1e-5
+
+
+def test_models_take_repeated_null_and_missing_labels(spark, words, odd_docs):
+    docs, labels = corpus(spark, words, 120)
+    more = spark.createDataFrame([(1, None, None), (None, 1, 1), (99_999, 0, 1), (5, 0, None)], "doc_id long, quality int, toxic int")
+    labels = labels.union(labels).union(more)
+    assert Q.score(docs, Q.learn(docs, labels)).count() == 120
+    assert T.score(docs, T.learn(docs, labels)).count() == 120
+    long = make(spark, [(1, "漢字" * 5000, "a"), (2, "word " * 50_000, "a")])
+    assert T.score(long, T.learn(docs, labels)).count() == 2 and T._forms(("漢字" * 40).encode())
+
+
+def test_risk_matches_a_plain_one():
+    """One step from the start goes down the estimated risk, as differences of it show."""
+    r = np.random.default_rng(5)
+    p, u = (r.random((40, 3)) < 0.6).astype(float), (r.random((80, 3)) < 0.3).astype(float)
+    w, b = T.fit_nnpu(p, u, 0.2, rounds=600, slack=0.0)
+
+    def risk(w, b):
+        on_p = np.logaddexp(0, -(p @ w + b)).mean() * 0.2
+        rest = np.logaddexp(0, u @ w + b).mean() - 0.2 * np.logaddexp(0, p @ w + b).mean()
+        return on_p + max(rest, 0) + 1.5e-4 * w @ w
+
+    assert risk(w, b) < risk(np.zeros(3), np.log(0.2 / 0.8))
+    assert all(risk(w, b) < risk(w + d, b) + 1e-4 for d in 0.3 * np.vstack([np.eye(3), -np.eye(3)]))
