@@ -59,9 +59,16 @@ def approach_boxes(spark, d):
     return out
 
 
-@query()
+@query("""
+    WITH p AS (SELECT DISTINCT v AS node, x1 AS x, y1 AS y FROM edges),
+    e AS (SELECT a.node, a.x AS ax, a.y AS ay, b.x AS bx, b.y AS bb FROM p a JOIN p b ON a.node = b.node AND (a.x <> b.x OR a.y <> b.y)
+          WHERE NOT EXISTS (SELECT 1 FROM p r WHERE r.node = a.node AND ((b.x - a.x) * (r.y - a.y) - (b.y - a.y) * (r.x - a.x) < 0 OR ((b.x - a.x) * (r.y - a.y) = (b.y - a.y) * (r.x - a.x) AND (r.x - a.x) * (r.x - b.x) + (r.y - a.y) * (r.y - b.y) > 0)))),
+    s AS (SELECT node, count(*) AS n, abs(sum(ax * bb - bx * ay)) / 2 AS area FROM e GROUP BY 1)
+    SELECT q.node, coalesce(n, 1) AS n, round(coalesce(area, 0), 4) AS area FROM (SELECT DISTINCT node FROM p) q LEFT JOIN s ON s.node = q.node
+""")
 def controller_hulls(spark, d):
-    return U.convex_hulls(V.edges(spark, d).select(F.col("v").alias("node"), F.col("x1").alias("x"), F.col("y1").alias("y")), "node")
+    out = U.convex_hulls(V.edges(spark, d).select(F.col("v").alias("node"), F.col("x1").alias("x"), F.col("y1").alias("y")), "node")
+    return out.select("node", F.col("n").cast("bigint").alias("n"), F.round("area", 4).alias("area"))
 
 
 @query()
