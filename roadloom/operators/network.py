@@ -142,3 +142,19 @@ def spread_lanes(edges: DataFrame, rounds: int) -> DataFrame:
             break
         now = cut(now.join(got, "segment_id", "left").withColumn("lanes", F.coalesce("lanes", "got")).drop("got"))
     return now
+
+
+def numbered(ids: DataFrame, key: str, name: str = "place") -> DataFrame:
+    """ids (one row each) with their place in the order of key, from 0.
+
+    Ranges of keys are sorted apart; only the number of rows of each range comes to the driver.
+    """
+    parts = cut(ids.repartitionByRange(key).sortWithinPartitions(key).withColumn("__part", F.spark_partition_id()))
+    sizes = sorted(tuple(r) for r in parts.groupBy("__part").count().collect())
+    begins, total = [], 0
+    for part, n in sizes:
+        begins.append((part, total))
+        total += n
+    offsets = ids.sparkSession.createDataFrame(begins, "__part int, __begin bigint")
+    own = F.row_number().over(Window.partitionBy("__part").orderBy(key)) - 1
+    return parts.join(F.broadcast(offsets), "__part").withColumn(name, own + F.col("__begin")).drop("__part", "__begin")

@@ -54,10 +54,25 @@ def first_in(df: DataFrame, key: list[str], order: list[str], cols: list[str]) -
     return df.groupBy(*key).agg(*[F.min_by(c, F.when(F.col(c).isNotNull(), F.struct(*order))).alias(c) for c in cols])
 
 
-def sample_ids(ids: DataFrame, key: str, by: Column, share: float) -> DataFrame:
-    """max(1, floor(n * share)) of the ids, those with the smallest hash."""
-    n = ids.count()
-    return ids.orderBy(by, key).limit(max(1, int(n * share)) if n else 0)
+def sample_ids(ids: DataFrame, key: str, by: Column, share: float, cells: int = 4096) -> DataFrame:
+    """max(1, floor(n * share)) of the ids, those with the smallest hash (then key).
+
+    The hash's range is counted in cells; whole cells below the limit are taken where they
+    are, and only the cell that the limit falls into is sorted.
+    """
+    rows = ids.withColumn("__by", by)
+    n, low, high = rows.agg(F.count(F.lit(1)), F.min("__by"), F.max("__by")).first()
+    left = max(1, int(n * share)) if n else 0
+    width = max(1, -(-(high - low + 1) // cells)) if n else 1
+    rows = rows.withColumn("__cell", F.floor((F.col("__by") - F.lit(low or 0)) / width))
+    edge = 0
+    for cell, size in sorted(tuple(r) for r in rows.groupBy("__cell").count().collect()):  # at most ``cells`` rows
+        edge = cell
+        if size >= left:
+            break
+        left -= size
+    some = rows.where(F.col("__cell") == edge).orderBy("__by", key).limit(left)
+    return rows.where(F.col("__cell") < edge).union(some).select(*ids.columns)
 
 
 def binned(df: DataFrame, key: str, x: str, bins: int) -> DataFrame:

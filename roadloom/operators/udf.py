@@ -163,49 +163,7 @@ def matched(candidates: DataFrame, noise: float = 20.0, first: float = 5.0, most
     return candidates.groupBy("track_id").applyInPandas(run, "track_id string, row_id long, segment_id string, station double, offset double, dist double")
 
 
-# --- faces ----------------------------------------------------------------------------
-
-
-def faces(nodes: dict, links: set) -> list[list]:
-    """Inner faces of a planar drawing, as node rings (counter-clockwise, first not repeated)."""
-    around: dict = {}
-    for a, b in links:
-        around.setdefault(a, []).append(b)
-        around.setdefault(b, []).append(a)
-    for a, near in around.items():
-        near.sort(key=lambda b: np.arctan2(nodes[b][1] - nodes[a][1], nodes[b][0] - nodes[a][0]))
-    seen, out = set(), []
-    for half in sorted([(a, b) for a, b in links] + [(b, a) for a, b in links]):
-        ring, now = [], half
-        while now not in seen:
-            seen.add(now)
-            ring.append(now[0])
-            a, b = now
-            near = around[b]
-            now = (b, near[(near.index(a) - 1) % len(near)])
-        if len(ring) >= 3:
-            area = sum(nodes[p][0] * nodes[q][1] - nodes[q][0] * nodes[p][1] for p, q in zip(ring, ring[1:] + ring[:1], strict=True)) / 2
-            if area > 1e-9:
-                out.append(ring)
-    return out
-
-
-def polygonize(edges: DataFrame, piece: str) -> DataFrame:
-    """piece, face, area, perimeter, n, nodes: the faces of each connected piece.
-
-    edges: piece, u, v, x1, y1, x2, y2; they must not cross between nodes.
-    """
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        nodes = {int(r.u): (r.x1, r.y1) for r in pdf.itertuples()} | {int(r.v): (r.x2, r.y2) for r in pdf.itertuples()}
-        links = {(min(int(a), int(b)), max(int(a), int(b))) for a, b in zip(pdf["u"], pdf["v"], strict=True) if a != b}
-        rows = []
-        for i, ring in enumerate(faces(nodes, links)):
-            xy = np.array([nodes[n] for n in ring])
-            nxt = np.roll(xy, -1, 0)
-            rows.append((pdf[piece].iloc[0], i, float((xy[:, 0] * nxt[:, 1] - nxt[:, 0] * xy[:, 1]).sum() / 2), float(np.hypot(*(nxt - xy).T).sum()), len(ring), [int(n) for n in ring]))
-        return pd.DataFrame(rows, columns=[piece, "face", "area", "perimeter", "n", "nodes"])
-
-    return edges.select(piece, "u", "v", "x1", "y1", "x2", "y2").groupBy(piece).applyInPandas(run, f"{piece} {dict(edges.dtypes)[piece]}, face int, area double, perimeter double, n int, nodes array<long>")
+# --- hulls --------------------------------------------------------------------------
 
 
 def hull(points: np.ndarray) -> np.ndarray:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..operators import faces as X
 from ..operators import graph as G
 from ..operators import network as N
 from ..operators import signals as S
@@ -47,10 +48,21 @@ def _pieces(spark, d):
     return G.headed(N.with_component(V.edges(spark, d)))
 
 
-@query()
+_FACES = """
+    lk AS (SELECT u AS a, v AS b, x1 AS ax, y1 AS ay, x2 AS bx, y2 AS bb FROM edges WHERE u <> v UNION SELECT v, u, x2, y2, x1, y1 FROM edges WHERE u <> v),
+    he AS (SELECT a, b, ax, ay, bx, bb FROM lk QUALIFY row_number() OVER (PARTITION BY a, b ORDER BY ax) = 1),
+    tn AS (SELECT b AS a, a AS b, coalesce(lag(b) OVER w, last_value(b) OVER (PARTITION BY a ORDER BY atan2(bb - ay, bx - ax), b ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)) AS nb FROM he WINDOW w AS (PARTITION BY a ORDER BY atan2(bb - ay, bx - ax), b)),
+    hn AS (SELECT he.*, nb FROM he JOIN tn USING (a, b)),
+    wk AS (SELECT a AS sa, b AS sb, a, b, nb, 0 AS k, false AS over_it FROM hn UNION ALL SELECT sa, sb, h.a, h.b, h.nb, k + 1, (h.a, h.b) < (sa, sb) OR (h.a = sa AND h.b = sb) FROM wk JOIN hn h ON h.a = wk.b AND h.b = wk.nb WHERE NOT over_it),
+    ld AS (SELECT sa, sb, max(k) AS n FROM wk GROUP BY 1, 2 HAVING bool_or(over_it AND a = sa AND b = sb)),
+    rg AS (SELECT wk.sa, wk.sb, wk.k, h.* FROM wk JOIN ld ON ld.sa = wk.sa AND ld.sb = wk.sb AND NOT over_it JOIN he h ON h.a = wk.a AND h.b = wk.b),
+    fc AS (SELECT concat(sa, '-', sb) AS face, sum(ax * bb - bx * ay) / 2 AS area, sum(sqrt((bx - ax) ** 2 + (bb - ay) ** 2)) AS perimeter, count(*) AS n, string_agg(a::VARCHAR, ',' ORDER BY k) AS nodes FROM rg GROUP BY sa, sb HAVING count(*) >= 3 AND sum(ax * bb - bx * ay) / 2 > 1e-9)"""
+
+
+@query(f"WITH RECURSIVE {_FACES} SELECT face, round(area, 4) AS area, round(perimeter, 4) AS perimeter, n, nodes FROM fc")
 def polygonize_faces(spark, d):
-    out = U.polygonize(_pieces(spark, d), "root")
-    return out.select("root", "face", "area", "perimeter", "n", F.array_join("nodes", ",").alias("nodes"))
+    out = X.faces(V.edges(spark, d))
+    return out.select("face", F.round("area", 4).alias("area"), F.round("perimeter", 4).alias("perimeter"), "n", F.array_join("nodes", ",").alias("nodes"))
 
 
 @query("SELECT v AS node, count(DISTINCT (x1, y1)) AS points, round(coalesce((max(x1) - min(x1)) * (max(y1) - min(y1)), 0), 4) AS box FROM edges GROUP BY 1")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from roadloom.functions import geometry as G
 from roadloom.functions import scalar as S
-from roadloom.operators import graph, network, timeseries, udf
+from roadloom.operators import faces, graph, network, timeseries, udf
 from roadloom.sources import readers, writers
 
 
@@ -51,10 +51,12 @@ def test_viterbi_stays_connected():
     assert udf.viterbi([], [], [], 5.0) == []
 
 
-def test_faces_of_two_squares():
+def test_faces_of_two_squares(spark):
     nodes = {0: (0, 0), 1: (1, 0), 2: (1, 1), 3: (0, 1), 4: (2, 0), 5: (2, 1), 6: (3, 3)}
-    links = {(0, 1), (1, 2), (2, 3), (0, 3), (1, 4), (4, 5), (2, 5), (5, 6)}
-    assert sorted(sorted(f) for f in udf.faces(nodes, links)) == [[0, 1, 2, 3], [1, 2, 4, 5]]
+    links = [(0, 1), (1, 2), (2, 3), (0, 3), (1, 4), (4, 5), (2, 5), (5, 6), (1, 0)]  # a dead end, and one link twice
+    rows = [(a, b, *map(float, nodes[a]), *map(float, nodes[b])) for a, b in links]
+    got = faces.faces(spark.createDataFrame(rows, "u long, v long, x1 double, y1 double, x2 double, y2 double")).collect()
+    assert sorted((f.face, f.area, f.perimeter, f.nodes) for f in got) == [("0-1", 1, 4, [0, 1, 2, 3]), ("1-4", 1, 4, [1, 4, 5, 2])]
 
 
 def test_geometry(spark):
