@@ -34,7 +34,6 @@ import pyarrow as pa
 import regex
 import xxhash
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from . import common as C
 

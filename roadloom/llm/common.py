@@ -8,7 +8,7 @@ import uuid
 from contextlib import contextmanager
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: ASCII white space: what separates words in every operator here.
@@ -118,34 +118,38 @@ def option(spark: SparkSession, name: str, value: str):
             spark.conf.set(name, before)
 
 
-SHARE, LEAST = 512, 500
+#: A key is hot with more than 1 / SHARE of the rows, and more than LEAST; FEW rows are one task's work.
+SHARE, LEAST, FEW = 512, 500, 50_000
 
 
-def hot_keys(df: DataFrame, key: list[str], n: str | None = None) -> list[Row]:
-    """(key, __parts) of the keys that more than 1 / SHARE of df's rows (and more than LEAST
-    rows) have: fewer than SHARE whatever the data. With n, df has one row for each key and n
-    tells how many rows elsewhere have it. df must be cheap to read again (cut, or a scan).
+def hot_keys(df: DataFrame, key: list[str], n: str | None = None) -> dict[int, int]:
+    """The keys that more than 1 / SHARE of df's rows (and more than LEAST rows) have: fewer
+    than SHARE whatever the data, as hash -> number of parts. With n, df has one row for each
+    key and n tells how many rows elsewhere have it. df must be cheap to read again (cut, or a
+    scan). Up to FEW rows, no key needs parts.
     """
+    total = df.count() if n is None else int(df.agg(F.sum(n)).first()[0] or 0)
+    if total <= FEW:
+        return {}
+    limit = max(LEAST, total // SHARE)
     sizes = df.groupBy(*key).agg(F.count(F.lit(1)).alias("__n")) if n is None else df.select(*key, F.col(n).alias("__n"))
-    total, most = sizes.agg(F.sum("__n"), F.max("__n")).first()
-    limit = max(LEAST, int(total or 0) // SHARE)
-    if (most or 0) <= limit:
-        return []
-    return sizes.where(F.col("__n") > limit).select(*key, F.ceil(F.col("__n") / limit).cast("int").alias("__parts")).collect()  # fewer than SHARE rows
+    found = sizes.where(F.col("__n") > limit).select(F.xxhash64(*key), F.ceil(F.col("__n") / limit).cast("int")).collect()  # fewer than SHARE rows
+    return {k: parts for k, parts in found}
 
 
-def spread_join(big: DataFrame, small: DataFrame, key: list[str], by: Column, hot: list[Row], how: str = "inner") -> DataFrame:
+def spread_join(big: DataFrame, small: DataFrame, key: list[str], by: Column, hot: dict[int, int], how: str = "inner") -> DataFrame:
     """big joined with small on key, with the hot keys of big dealt over many tasks.
 
-    Only the hot keys (see ``hot_keys``) are broadcast. Rows of a hot key go to parts by
-    ``by``, and small's rows of that key are repeated once for each part. No row is dropped.
+    Rows of a hot key (see ``hot_keys``) go to parts by ``by``, and small's rows of that key
+    are repeated once for each part. No row is dropped.
     """
     if not hot:
         return big.join(small, key, how)
-    known = F.broadcast(big.sparkSession.createDataFrame(hot, small.select(*key, F.lit(0).alias("__parts")).schema))
-    parts = F.coalesce("__parts", F.lit(1))
-    left = big.join(known, key, "left").withColumn("__salt", F.pmod(by, parts).cast("int")).drop("__parts")
-    right = small.join(known, key, "left").withColumn("__salt", F.explode(F.sequence(F.lit(0), parts - 1))).drop("__parts")
+    code = F.xxhash64(*key)  # a key that shares its hash with a hot one gets parts on both sides
+    table = F.create_map(*[F.lit(x) for k, n in hot.items() for x in (k, n)])
+    parts = F.when(code.isin(list(hot)), F.try_element_at(table, code)).otherwise(1)
+    left = big.withColumn("__salt", F.pmod(by, parts).cast("int"))
+    right = small.withColumn("__salt", F.explode(F.sequence(F.lit(0), parts - 1)))
     return left.join(right, [*key, "__salt"], how).drop("__salt")
 
 

@@ -215,3 +215,24 @@ def test_no_link_is_lost_between_hub_families(spark, words, monkeypatch, strays)
     got = {d.doc_id: d.component_id for d in N.near_duplicates(make(spark, rows), 1, 80).collect()}
     for members in groups.values():
         assert {got[i] for i in members} == {min(members)}
+
+
+def test_hot_keys_dealt_over_tasks_change_nothing(spark, words, monkeypatch, odd_rows):
+    """With tiny limits every join goes through parts."""
+    from roadloom.llm import common as C
+
+    monkeypatch.setattr(C, "FEW", 0)
+    monkeypatch.setattr(C, "LEAST", 2)
+    monkeypatch.setattr(C, "SHARE", 8)
+    monkeypatch.setattr(N, "EDGES_A_TASK", 20)
+    texts = family(words, 40, 6) + ["equal text here"] * 30
+    rows = [(i, t, "a") for i, t in enumerate(texts)]
+    assert C.hot_keys(make(spark, rows), ["source"]) and not C.hot_keys(make(spark, rows), ["doc_id"])
+    _, groups = brute_components([(i, t) for i, t, _ in rows], 2, 80)
+    got = {d.doc_id: d.component_id for d in N.near_duplicates(make(spark, rows), 2, 80).collect()}
+    assert all({got[i] for i in g} == {min(g)} for g in groups.values())
+    kept = {d.doc_id: (d.keep_id, d.group_size) for d in X.exact_duplicates(make(spark, rows), capacity=5).collect()}
+    assert all(kept[i] == (max(g), len(g)) for g in ([j for j, t in enumerate(texts) if t == texts[i]] for i in range(len(texts))) for i in g)
+    lined = [(i, "\n".join([words[0]] * 3 + [words[i]]), "a") for i in range(30)]
+    want = brute_lines([(i, t) for i, t, _ in lined])
+    assert all(d.text == want[(d.doc_id, lined[d.doc_id][1])] for d in L.line_report(make(spark, lined)).collect())
