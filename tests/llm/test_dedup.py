@@ -236,3 +236,50 @@ def test_hot_keys_dealt_over_tasks_change_nothing(spark, words, monkeypatch, odd
     lined = [(i, "\n".join([words[0]] * 3 + [words[i]]), "a") for i in range(30)]
     want = brute_lines([(i, t) for i, t, _ in lined])
     assert all(d.text == want[(d.doc_id, lined[d.doc_id][1])] for d in L.line_report(make(spark, lined)).collect())
+
+
+def hub_with_strays(members=80, strays=24):
+    """A family of linked texts, and texts that share most of its words but are linked to none."""
+    r = random.Random(78)
+    vocabulary = [f"w{i}" for i in range(20_000)]
+    base = r.sample(vocabulary, 400)
+    texts = [base[:i] + [f"m{i}"] + base[i + 1 :] for i in range(members)] + [base[:310] + r.sample(vocabulary, 90) for _ in range(strays)]
+    return [(i, " ".join(t), "a") for i, t in enumerate(texts)]
+
+
+def test_strays_make_no_row_for_each_pair(spark, monkeypatch):
+    """24 strays beside 80 members: pairs that aren't linked must not be joined one by one."""
+    rows, joined, alike = hub_with_strays(), [], N._alike
+
+    def counted(pairs, *more):
+        joined.append(pairs.count())
+        return alike(pairs, *more)
+
+    monkeypatch.setattr(N, "_alike", counted)
+    _, groups = brute_components([(i, t) for i, t, _ in rows], 1, 80)
+    got = {d.doc_id: d.component_id for d in N.near_duplicates(make(spark, rows), 1, 80).collect()}
+    assert all({got[i] for i in g} == {min(g)} for g in groups.values())
+    assert sum(joined) <= 6 * len(rows)
+
+
+def test_met_deals_members_and_confirms(spark, monkeypatch):
+    """Members of one bucket in several parts: every link between a hub and another label, once."""
+    from roadloom.llm import common as C
+
+    monkeypatch.setattr(C, "LEAST", 7)
+    r = random.Random(79)
+    base = [f"w{i}" for i in range(100)]
+    texts = []
+    for _ in range(60):
+        t = list(base)
+        for i in r.sample(range(100), r.randint(2, 14)):
+            t[i] = f"x{r.randrange(10_000)}"
+        texts.append(t)
+    texts[5] = base + [f"long{i}" for i in range(400)]
+    sets = [N.shingles_of(" ".join(t).encode(), 1) for t in texts]
+    label, hubs = [i % 5 for i in range(60)], set(range(0, 60, 9))
+    groups = spark.createDataFrame([(b, bytes([i]), bytes([label[i]]), 60, i in hubs) for b in (3, 4) for i in range(60)], "band long, fp binary, label binary, held long, hub boolean")
+    shown = spark.createDataFrame([(bytes([i]), " ".join(t).encode()) for i, t in enumerate(texts)], "fp binary, text binary")
+    got = sorted((d.a[0], d.b[0]) for d in N._met(groups, shown, 1, 80).collect())
+    want = [(i, j) for i in range(60) for j in range(i + 1, 60) if (i in hubs or j in hubs) and label[i] != label[j] and 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j])]
+    assert got == want and 50 < len(want) < 300
