@@ -283,3 +283,20 @@ def test_met_deals_members_and_confirms(spark, monkeypatch):
     got = sorted((d.a[0], d.b[0]) for d in N._met(groups, shown, 1, 80).collect())
     want = [(i, j) for i in range(60) for j in range(i + 1, 60) if (i in hubs or j in hubs) and label[i] != label[j] and 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j])]
     assert got == want and 50 < len(want) < 300
+
+
+def test_near_duplicates_broadcast_nothing(spark, words):
+    """The driver builds no table by Spark's own choice, in any of the many steps."""
+    rows = hub_with_strays(20, 6) + [(100 + i, t, "a") for i, t in enumerate(family(words, 12, 8))]
+    store = spark._jsparkSession.sharedState().statusStore()
+    before = store.executionsCount()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "100m")
+    try:
+        N.near_duplicates(make(spark, rows), 1, 80).collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    new = store.executionsList(int(before), int(store.executionsCount() - before))
+    plans = [new.apply(i).physicalPlanDescription() for i in range(new.size())]
+    assert any("SortMergeJoin" in p for p in plans)
+    assert not any("BroadcastHashJoin" in p or "BroadcastExchange" in p for p in plans)
