@@ -5,6 +5,7 @@ import numpy as np
 
 from roadloom.llm import quality_model as Q
 from roadloom.llm import toxicity as T
+from roadloom.llm.quality_rules import statistics as Q_statistics
 from tests.llm.conftest import make
 
 
@@ -145,3 +146,55 @@ def test_risk_matches_a_plain_one():
 
     assert risk(w, b) < risk(np.zeros(3), np.log(0.2 / 0.8))
     assert all(risk(w, b) < risk(w + d, b) + 1e-4 for d in 0.3 * np.vstack([np.eye(3), -np.eye(3)]))
+
+
+def test_quality_model_learns_from_all_labelled_rows(spark, words):
+    """More labels than a task takes: weights, threshold and scale are those of all rows and all pairs."""
+    r = random.Random(12)
+    rows, labels = [], []
+    for i in range(30_000):
+        w = [r.choice(words) for _ in range(r.randint(3, 30))]
+        marks = r.randint(0, 3) if r.random() < 0.4 else 0  # kinds overlap
+        rows.append((i, " ".join(w + ["#$%"] * marks), "a"))
+        labels.append((i, int(r.random() < (0.95, 0.6, 0.4, 0.2)[marks])))
+    docs, marked = make(spark, rows), spark.createDataFrame(labels, "doc_id long, quality int")
+    w, cut, scale = Q.learn(docs, marked)
+    used = [(t, y == 1) for (i, t, _), (_, y) in zip(rows, labels) if zlib.crc32(str(i).encode()) % 5]
+    x, good = Q.features(np.array([Q_statistics(t.encode()) for t, _ in used])), np.array([y for _, y in used])
+    raw = x @ w
+    grad = 1e-4 * w
+    pairs = int(good.sum()) * int((~good).sum())
+    for part in np.array_split(np.flatnonzero(good), 200):
+        p = 1 / (1 + np.exp(raw[part][:, None] - raw[~good]))
+        grad += (p.sum(0) @ x[~good] - p.sum(1) @ x[part]) / pairs
+    assert len(used) > 20_000 and np.abs(grad).max() < 1e-6  # the least mean loss over all pairs
+    raw.sort()
+    bad, near = int((~good).sum()), len(raw) // 200
+    lo = bad - 1 - near
+    k = lo + int(np.diff(raw[lo : bad + near + 1]).argmax())
+    assert abs(cut - (raw[k] + raw[k + 1]) / 2) < 1e-9 and abs(scale - raw.std() / 4) < 1e-9
+
+
+def test_quality_model_over_tasks_is_the_same(spark, words, monkeypatch):
+    docs, labels = corpus(spark, words, 400)
+    docs = docs.union(docs.where("doc_id % 3 = 0"))  # rows that are alike count each
+    one = Q.learn(docs, labels)
+    monkeypatch.setattr(Q, "TASK", 30)
+    two = Q.learn(docs, labels)
+    assert all(np.allclose(a, b, rtol=1e-9) for a, b in zip(one, two))
+    again = Q.learn(docs.repartition(7), labels)
+    assert all(np.array_equal(a, b) for a, b in zip(two, again))
+    none = Q.learn(docs, labels.where("quality = 1"))
+    assert not none[0].any() and none[1:] == (0.0, 1.0)
+
+
+def test_widest_gap_with_ties_and_parts():
+    r = np.random.default_rng(8)
+    for turn in range(200):
+        raw = np.sort(r.integers(0, r.integers(1, 40), r.integers(2, 60)) / 7)
+        bad = int(r.integers(1, len(raw)))
+        lo, hi = Q._window(len(raw), bad)
+        k = lo + int(np.diff(raw[lo : hi + 1]).argmax())
+        values, count = np.unique(raw, return_counts=True)
+        [(_, _, middle)] = Q._widest(values, count, 0, (lo, hi))
+        assert abs(middle - (raw[k] + raw[k + 1]) / 2) < 1e-12
