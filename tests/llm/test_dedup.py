@@ -300,3 +300,43 @@ def test_near_duplicates_broadcast_nothing(spark, words):
     plans = [new.apply(i).physicalPlanDescription() for i in range(new.size())]
     assert any("SortMergeJoin" in p for p in plans)
     assert not any("BroadcastHashJoin" in p or "BroadcastExchange" in p for p in plans)
+
+
+def test_index_of_differences_makes_a_row_for_each_member_and_slot(spark, monkeypatch):
+    """A family of many strays: no row for each difference of a prefix, and no link is lost over slots."""
+    monkeypatch.setattr(N, "STRAYS", 0)
+    monkeypatch.setattr(N, "ROUNDS", 1)
+    monkeypatch.setattr(N, "SLOT", 2_000)
+    rows, seen, candidates = hub_with_strays(60, 40), [], N._candidates
+
+    def counted(members):
+        kind = "b binary, slot bigint, a binary, part binary, kind int, own int, ends array<int>, items array<bigint>, places array<int>"
+        sent = members.mapInArrow(N._posted, kind).collect()
+        seen.append((members.count(), sum(max(m.own, m.ends[0]) for m in members.collect()), sent, max(m.slots for m in members.collect())))
+        return candidates(members)
+
+    monkeypatch.setattr(N, "_candidates", counted)
+    store = spark._jsparkSession.sharedState().statusStore()
+    before = store.executionsCount()
+    _, groups = brute_components([(i, t) for i, t, _ in rows], 1, 80)
+    got = {d.doc_id: d.component_id for d in N.near_duplicates(make(spark, rows), 1, 80).collect()}
+    assert all({got[i] for i in g} == {min(g)} for g in groups.values())
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    new = store.executionsList(int(before), int(store.executionsCount() - before))
+    assert not any("explode(slice(" in new.apply(i).physicalPlanDescription() for i in range(new.size()))
+    [(members, posted, sent, slots)] = seen
+    assert slots > 1 and len(sent) <= members * slots < posted / 2
+    assert sum(len(r["items"]) for r in sent) == posted  # all differences of all prefixes
+
+
+def test_shared_differences_match_all_pairs(monkeypatch):
+    monkeypatch.setattr(N, "CHUNK", 50)
+    r = np.random.default_rng(9)
+    rows = []
+    for i in range(50):
+        items = r.choice(200, r.integers(1, 30), replace=False).astype(np.int64)
+        ends = np.sort(r.integers(0, len(items) + 1, N.CLASSES))[::-1]
+        rows.append((bytes([i % 6]), int(r.integers(N.CLASSES)), int(r.integers(0, len(items) + 1)) * (i % 3 > 0), ends.tolist(), items, np.arange(len(items), dtype=np.int32)))
+    got = {tuple(p) for found in N._sharing(rows) for p in found.tolist()}
+    want = {(min(i, j), max(i, j)) for i, x in enumerate(rows) for j, y in enumerate(rows) if x[0] != y[0] and set(x[4][: x[2]]) & set(y[4][: y[3][x[1]]])}
+    assert got == want and len(want) > 100
