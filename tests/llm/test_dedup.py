@@ -340,3 +340,50 @@ def test_shared_differences_match_all_pairs(monkeypatch):
     got = {tuple(p) for found in N._sharing(rows) for p in found.tolist()}
     want = {(min(i, j), max(i, j)) for i, x in enumerate(rows) for j, y in enumerate(rows) if x[0] != y[0] and set(x[4][: x[2]]) & set(y[4][: y[3][x[1]]])}
     assert got == want and len(want) > 100
+
+
+def alike_not_linked(members, pairs=6):
+    """Texts that share most words with one another, rare ones too, but of which only pairs are linked."""
+    r = random.Random(80)
+    base, pool = [f"w{i}" for i in range(310)], [f"p{i}" for i in range(400)]
+    texts = [base + r.sample(pool, 90) for _ in range(members)]
+    texts += [t[:-20] + [f"q{i}x{j}" for j in range(20)] for i, t in enumerate(texts[:pairs])]
+    return [(i, " ".join(t), "a") for i, t in enumerate(texts)]
+
+
+@pytest.mark.parametrize("slot", [100_000, 1_500])
+def test_index_of_differences_makes_no_row_for_each_pair_that_shares_one(spark, monkeypatch, slot):
+    """Nearly all pairs of the family share a difference of their prefixes; only linked ones become rows."""
+    monkeypatch.setattr(N, "STRAYS", 0)
+    monkeypatch.setattr(N, "ROUNDS", 1)
+    monkeypatch.setattr(N, "SLOT", slot)
+    rows, made, candidates = alike_not_linked(90), [], N._candidates
+
+    def counted(members):
+        found = candidates(members)
+        made.append(found.count())
+        return found
+
+    monkeypatch.setattr(N, "_candidates", counted)
+    _, groups = brute_components([(i, t) for i, t, _ in rows], 1, 80)
+    assert sum(len(g) > 1 for g in groups.values()) == 6
+    got = {d.doc_id: d.component_id for d in N.near_duplicates(make(spark, rows), 1, 80).collect()}
+    assert all({got[i] for i in g} == {min(g)} for g in groups.values())
+    assert len(made) == 1 and 1 <= made[0] <= 2 * len(rows)
+
+
+def test_parities_drop_no_pair_that_may_be_linked(monkeypatch):
+    """Whatever the words, a pair stays if its sets differ in no more than both have room for."""
+    monkeypatch.setattr(N, "CHUNK", 64)
+    r = np.random.default_rng(10)
+    sets = [r.choice(120, r.integers(0, 60), replace=False).astype(np.int64) - 60 for _ in range(60)]
+    room = r.integers(0, 30, 60) / 2
+    found = np.array([(i, j) for i in range(60) for j in range(i + 1, 60)])
+    gap = np.array([len(np.setxor1d(sets[i], sets[j])) for i, j in found])
+    linked = {tuple(p) for p in found[gap <= room[found].sum(axis=1)].tolist()}
+    for words, most in ((1, 60 * 60), (40, 2 * len(linked))):
+        bits = np.frombuffer(b"".join(N._parities(s, words) for s in sets), np.uint64).reshape(60, -1)
+        assert bits.shape == (60, words)
+        kept = {tuple(p) for p in N._near_enough(found, bits, room).tolist()}
+        assert linked <= kept and 20 < len(linked) and len(kept) < most
+    assert N._near_enough(found[:0], bits, room).shape == (0, 2)
